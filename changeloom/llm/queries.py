@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import decontaminate, line_dedup, mixing, url_rules
+from changeloom.llm import decontaminate, line_dedup, mixing, phrases, token_counts, token_io, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_io.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.with_next(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = decontaminate.benchmark_windows(table(spark, sf_dir, "benchmark"))
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), windows)
@@ -26,6 +34,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -35,4 +47,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op6_decontaminate, op9_mix_sources, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_files, op5_fingerprint, op6_decontaminate, op8_token_counts, op9_mix_sources, op10_url_filter)}

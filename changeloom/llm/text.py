@@ -61,3 +61,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """df with a broadcast hint if it has at most max_rows rows, else as it is. df should be cheap to count."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark application, for tasks that run Python."""
+    import os
+    import shutil
+
+    import changeloom
+
+    app = spark.sparkContext.applicationId
+    if getattr(ship, "done", None) != app:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(changeloom.__file__)))
+        packed = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="changeloom-code-"), "changeloom-code"), "zip", root, "changeloom")
+        spark.sparkContext.addPyFile(packed)
+        ship.done = app
