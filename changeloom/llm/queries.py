@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import decontaminate, line_dedup, mixing, phrases, token_counts, token_io, url_rules
+from changeloom.llm import decontaminate, line_dedup, mixing, phrases, quality, secret_scan, token_counts, token_io, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.joined(F.col("spans"), ("assign", "access", "hex")), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.with_next(table(spark, sf_dir, "documents"))
 
@@ -34,6 +43,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -47,4 +61,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_files, op5_fingerprint, op6_decontaminate, op8_token_counts, op9_mix_sources, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_files, op4_secret_scan, op5_fingerprint, op6_decontaminate, op7_quality, op8_token_counts, op9_mix_sources, op10_url_filter)}
