@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import decontaminate, line_dedup, mixing, phrases, quality, secret_scan, token_counts, token_io, url_rules
+from changeloom.llm import decontaminate, jaccard, line_dedup, mixing, phrases, quality, secret_scan, token_counts, token_io, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -61,4 +65,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_files, op4_secret_scan, op5_fingerprint, op6_decontaminate, op7_quality, op8_token_counts, op9_mix_sources, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_line_dedup, op3_token_files, op4_secret_scan, op5_fingerprint, op6_decontaminate, op7_quality, op8_token_counts, op9_mix_sources, op10_url_filter)}
