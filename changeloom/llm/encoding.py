@@ -1,10 +1,12 @@
 """Exact token ids of texts, for byte-level BPE files of the tokenizers library.
 
-Two facts make the work cheap, both from how such a tokenizer first splits a text with one regular expression that
+Facts that make the work cheap, both from how such a tokenizer first splits a text with one regular expression that
 looks no further than one character ahead:
 
 - before a single space with a character other than white space on either side the split always ends a piece, so
   what lies between such spaces can be encoded on its own, and equal stretches once;
+- it also ends a piece between a Latin letter and a mark of .,;:!? and on both sides of a line end between a
+  character other than white space and a Latin letter, so a stretch not met before is put together of smaller parts;
 - from a place where two splits of overlapping chunks both end a piece, both go on alike (see Encoder.long).
 """
 
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import numpy as np
 
@@ -34,6 +37,26 @@ def can_cut(spec: dict) -> bool:
     return plain and added and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
 
 
+def latin(c: str) -> bool:
+    return c < "\u0250" and c.isalpha()
+
+
+def atoms(stretch: str) -> list[str]:
+    """A stretch and the space before it, in parts that encode on their own."""
+    lines = (" " + stretch).split("\n")
+    if len(lines) > 1 and not all(a and b and not a[-1].isspace() and latin(b[0]) for a, b in zip(lines, lines[1:], strict=False)):
+        lines = [" " + stretch]
+    out = []
+    for k, line in enumerate(lines):
+        if k:
+            out.append("\n")
+        if line[-1] in ".,;:!?" and len(line) > 2 and latin(line[-2]):
+            out += (line[:-1], line[-1])
+        else:
+            out.append(line)
+    return out
+
+
 class Encoder:
     """ids(texts) gives each text's ids as little-endian uint32 bytes, as the library gives them without added
     special tokens. Keeps up to cache_size stretches of at most 64 characters."""
@@ -43,19 +66,27 @@ class Encoder:
 
         spec = json.load(open(path, encoding="utf-8"))
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut, self.cache, self.cache_size = can_cut(spec), {}, cache_size
+        self.cut, self.cache_size = can_cut(spec), cache_size
+        self.cache: dict[str, bytes] = {}
+        self.atoms: dict[str, bytes] = {}
         self.chunk, self.overlap = chunk_chars, overlap
         self.margin = 2 + max([0, *(len(a["content"]) for a in spec.get("added_tokens", []))])
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, stretches: set[str]) -> list[str]:
+    def learn(self, stretches: list[str]) -> list[str]:
         """Put clean stretches that follow a space into the cache; returns those to take out again after use."""
-        fresh = [s for s in stretches.difference(self.cache) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()]
-        for at in range(0, len(fresh), 5000):
-            part = fresh[at : at + 5000]
-            self.cache.update(zip(part, self.plain([" " + s for s in part]), strict=True))
+        fresh = [s for s in set(stretches) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()]
+        made = {s: atoms(s) for s in fresh}
+        new = list({a for parts in made.values() for a in parts}.difference(self.atoms))
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
+            self.atoms.update(zip(part, self.plain(part), strict=True))
+        self.cache.update((s, b"".join([self.atoms[a] for a in parts])) for s, parts in made.items())
+        if len(self.atoms) > self.cache_size:
+            for a in new:
+                del self.atoms[a]
         return fresh if len(self.cache) > self.cache_size else []
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -74,12 +105,11 @@ class Encoder:
 
     def group(self, texts: list[str]) -> list[bytes]:
         parts = [[t] if len(t) > self.chunk or UNSURE in t else t.split(" ") for t in texts]
-        seen: set[str] = set()
-        for p in parts:
-            seen.update(p[1:])
-        extra = self.learn(seen)
+        known = self.cache
+        extra = self.learn([s for p in parts for s in p[1:] if s not in known])
         heads = self.plain([p[0] if len(p[0]) <= self.chunk and not p[0][-1:].isspace() else "" for p in parts])
-        known, out = self.cache.__getitem__, []
+        ids_of: Callable[[str], bytes] = known.__getitem__
+        out: list[bytes] = []
         for text, p, head in zip(texts, parts, heads, strict=True):
             if len(text) > self.chunk:
                 out.append(self.long(text))
@@ -87,7 +117,7 @@ class Encoder:
             try:
                 if p[0][-1:].isspace() or not p[0]:
                     raise KeyError
-                out.append(head + b"".join(map(known, p[1:])))
+                out.append(head + b"".join(map(ids_of, p[1:])))
             except KeyError:
                 out.append(self.careful(text))
         for s in extra:
@@ -150,12 +180,13 @@ class Encoder:
 _made: dict[str, Encoder] = {}
 
 
-def encoder(path: str | None) -> Encoder:
+def encoder(path: str | None, chunk_chars: int = 50_000) -> Encoder:
     """This process's encoder for a file; tasks of a worker share its cache."""
     path = path or default_path()
-    if path not in _made:
+    key = f"{path}/{chunk_chars}"
+    if key not in _made:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _made[path] = Encoder(path)
-    return _made[path]
+        _made[key] = Encoder(path, chunk_chars=chunk_chars)
+    return _made[key]

@@ -127,7 +127,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        own, where = encoding.encoder(path), TaskContext.get()
+        own, where = encoding.encoder(path, 1 << 30), TaskContext.get()
         place, root = fs.FileSystem.from_uri(folder)
         end = np.array([end_id], "<u4").tobytes()
         ids: list[bytes] = []
