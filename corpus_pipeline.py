@@ -1,11 +1,62 @@
-"""The corpus pipeline; its stages follow as their operators are built."""
+"""The corpus pipeline: documents to token files, in five stages.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir), docs being all rows that the stage before kept, and returns a DataFrame; all but
+the last return the columns of documents. Each result is written as Parquet and read again before the next stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from changeloom.llm import decontaminate, jaccard, mixing, quality, token_io
+from changeloom.llm.text import stored
+
+#: SQL can't express the trained classifier or the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go; it learns from the labels of docs that aren't held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(docs, labels).where("predicted = 1").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that similarity links, directly or by others, the one with the smallest id stays. Documents
+    without words are linked with nothing and stay, as do rows without an id."""
+    found = jaccard.similar_documents(docs)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words a twentieth or more stand in passages of the benchmark go."""
+    windows = decontaminate.benchmark_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.remove_documents(docs, decontaminate.contamination(docs, windows)).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target has it, which may be never."""
+    return mixing.repeated(mixing.mix(docs)).select(*docs.columns)
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_io.round_trip(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("benchmark decontamination", drop_benchmark_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID output", write_token_files),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
