@@ -1,0 +1,72 @@
+"""Where records go: files by topic, a memory table, or Kafka."""
+
+from __future__ import annotations
+
+from typing import Any, Protocol
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from changeloom.operators.publish import record_bytes, split_oversized
+
+COMPRESSIONS = ("none", "snappy", "lz4", "zstd", "gzip")
+ACKS = {"all": "all", "leader": "1", "none": "0"}
+
+
+class Sink(Protocol):
+    def write(self, records: DataFrame, batch_id: int | None = None) -> None: ...
+
+
+class FileSink:
+    """Parquet or JSON files, a folder for each topic and batch. Writing a batch again replaces it, so each batch is
+    there once however often it was tried. Records beyond max_message_bytes go to the folder quarantine instead."""
+
+    def __init__(self, path: str, file_format: str = "parquet", max_message_bytes: int = 0, records_per_file: int = 0):
+        self.path, self.format, self.most, self.per_file = path, file_format, max_message_bytes, records_per_file
+
+    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
+        name = "snapshot" if batch_id is None else f"{batch_id:012d}"
+        if self.most > 0:
+            records, large = split_oversized(records, record_bytes(F.col("key"), F.col("value")), self.most)
+            large.write.mode("overwrite").format(self.format).save(f"{self.path}/quarantine/batch={name}")
+        writer = records.write.mode("overwrite").partitionBy("topic").format(self.format)
+        if self.per_file > 0:
+            writer = writer.option("maxRecordsPerFile", self.per_file)
+        writer.save(f"{self.path}/records/batch={name}")
+
+    def read(self, spark: Any) -> DataFrame:
+        return spark.read.format(self.format).load(f"{self.path}/records")
+
+
+class MemorySink:
+    """The latest batches as a temporary view, for tests and looking around."""
+
+    def __init__(self, name: str):
+        self.name, self.batches = name, {}
+
+    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
+        self.batches[batch_id] = records.select("topic", "key", "value").toArrow()
+        first, *more = [records.sparkSession.createDataFrame(t, "topic string, key string, value string") for t in self.batches.values()]
+        for part in more:
+            first = first.unionAll(part)
+        first.createOrReplaceTempView(self.name)
+
+
+class KafkaSink:
+    """Spark's Kafka writer; needs its connector on the class path. Spark retries tasks, so records may repeat."""
+
+    def __init__(self, brokers: list[str], compression: str = "snappy", acks: str = "all", linger_ms: int = 5, idempotent: bool = True, in_flight: int = 5, batch_bytes: int = 16 << 20):
+        if compression not in COMPRESSIONS:
+            raise ValueError(f"compression is {compression!r}; it is one of {', '.join(COMPRESSIONS)}")
+        self.options = {
+            "kafka.bootstrap.servers": ",".join(brokers), "kafka.compression.type": compression, "kafka.acks": ACKS[acks], "kafka.linger.ms": str(linger_ms),
+            "kafka.enable.idempotence": str(idempotent).lower(), "kafka.max.in.flight.requests.per.connection": str(1 if idempotent else in_flight), "kafka.batch.size": str(batch_bytes),
+        }
+
+    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
+        records.selectExpr("topic", "cast(key as binary) key", "cast(value as binary) value").write.format("kafka").options(**self.options).save()
+
+
+def topics(records: DataFrame) -> DataFrame:
+    """The topics that records need, for whoever creates them."""
+    return records.select("topic").distinct()
