@@ -6,9 +6,11 @@ union. Multiplying whole columns would cost the square of each column's entries,
 1. A row of n entries overlaps a similar one in at least ceil(t * n) of them, so similar rows share a column among
    their first n - ceil(t * n) + 1, in any order of the columns. The product starts with these leading columns only,
    and drops a pair whose count, plus all that can follow after the leading columns, falls short of the least overlap.
-2. A column with more than `wide` entries would give too many pairs. Pairs of which one row leads with no wide column
-   are complete without those columns. Rows that lead with one ("hot") are multiplied with each other again, in an
-   order that puts frequent columns last, so that they rarely lead.
+   Tasks first count their own columns, and those that are frequent in some task come last in the order, so that
+   they rarely lead.
+2. The product is computed by blocks of columns. A column with more than `wide` entries would give too many pairs.
+   Pairs of which one row leads with no wide column are complete without those columns. Rows that lead with one
+   ("hot") are multiplied with each other again, in an order that is made for them alone.
 3. What is still wide then are groups of rows that are nearly one another's copies. Their pairs are never listed: each
    row is compared with the hub of its columns, and rows that the hub does not link are multiplied with their group in
    blocks of rows, which return a spanning forest of the links they find.
@@ -96,29 +98,153 @@ def grouped(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
         at = end
 
 
-def with_sets(docs: DataFrame, width: int, percent: int, whole: bool) -> DataFrame:
-    """docs (id, text) as (id, digest, n, grams): the leading columns by hash, or all of them. Where a task has met a
-    set before, its leading columns aren't repeated."""
+def set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int | None]]]:
+    """Batches of (id, text) with the set and digest of each row."""
+    for batch in batches:
+        sets = list(grouped(batch.column("text").to_pylist(), width))
+        yield batch, sets, [digest(g) if len(g) else None for g in sets]
+
+
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(g) for g in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)))
+
+
+def whole_sets(docs: DataFrame, width: int) -> DataFrame:
+    """docs (id, text) as (id, digest, n, grams)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            names, sizes, grams = [], [], []
-            for g in grouped(batch.column("text").to_pylist(), width):
-                name = digest(g) if len(g) else None
-                names.append(name)
-                sizes.append(len(g))
-                use = g if whole else g[:0] if name in seen or not len(g) else g[: leading(len(g), percent)]
-                grams.append(use.view(np.int64))
-                seen.add(name)
-            offsets = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(grams) if grams else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], ["id", "digest", "n", "grams"])
+        for batch, sets, names in set_batches(batches, width):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.int64()), pa.array([len(g) for g in sets], pa.int64()), lists(sets)], ["id", "digest", "n", "grams"])
 
     return docs.mapInArrow(made, f"id {kind}, digest long, n long, grams array<long>")
 
 
+def surveyed(docs: DataFrame, width: int, least: int = 4, chunk: int = 4_000_000) -> DataFrame:
+    """docs (id, text) as rows (id, digest, n), and beside them rows (gram, uses): the n-grams that at least `least`
+    sets among some `chunk` n-grams of one task hold. What is rarer everywhere isn't frequent."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+        fields = ["id", "digest", "n", "gram", "uses"]
+        id_type, size = pa.null(), 0
+
+        def counted() -> pa.RecordBatch:
+            grams, uses = np.unique(np.concatenate(held), return_counts=True)
+            often = uses >= least
+            none = [pa.nulls(int(often.sum()), t) for t in (id_type, pa.int64(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*none, pa.array(grams[often].view(np.int64)), pa.array(uses[often])], fields)
+
+        for batch, sets, names in set_batches(batches, width):
+            id_type = batch.column("id").type
+            for name, g in zip(names, sets, strict=True):
+                if len(g) and name not in seen:
+                    seen.add(name)
+                    held.append(g)
+                    size += len(g)
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.int64()), pa.array([len(g) for g in sets], pa.int64()), none, none], fields)
+            if size >= chunk:
+                yield counted()
+                held, size = [], 0
+                seen = set()
+        if held:
+            yield counted()
+
+    return docs.mapInArrow(made, f"id {kind}, digest long, n long, gram long, uses long")
+
+
+def led(g: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """The leading columns of a sorted row, where columns in last (sorted) come after all others."""
+    late = last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g if len(last) else np.zeros(len(g), bool)
+    return np.concatenate([g[~late], g[late]])[: leading(len(g), percent)]
+
+
+ENTRY = 20  # bytes: column, row, size of the row
+MARK = 0xFFFFFFFF  # the size in an entry that says that its column is wide
+
+
+def dealt(rows: Iterator[tuple[int, int, np.ndarray]], buckets: int, wide: int, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+    """Leading entries (digest, n, grams) as blocks for each bucket of columns, some `most` entries at a time. Of a
+    column with more than wide entries among these, the bucket gets a mark alone; the entries go to buckets below 0,
+    one for each 1000 of them, so that no bucket gathers such a column."""
+
+    def flush(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = np.array([len(g) for _, _, g in held])
+        column = mixed(np.concatenate([g for _, _, g in held]) ^ np.uint64(0x8BB84B93962EACC9))
+        order = np.argsort(column)
+        column = column[order]
+        row = np.repeat(np.array([d for d, _, _ in held], np.int64), sizes)[order]
+        n = np.repeat(np.array([k for _, k, _ in held], np.uint32), sizes)[order]
+        first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+        uses = np.diff(np.append(first, len(column)))
+        crowd = np.repeat(uses > wide, uses)
+        out: list[tuple[int, bytes]] = []
+        for at in range(0, int(crowd.sum()), 1000):
+            part = np.flatnonzero(crowd)[at : at + 1000]
+            key = -1 - int(mixed(column[part[:1]] ^ row[part[:1]].view(np.uint64))[0] % np.uint64(1 << 30))
+            out.append((key, column[part].tobytes() + row[part].tobytes() + n[part].tobytes()))
+        marks = column[first[uses > wide]]
+        use = ~crowd
+        column, row, n = (np.concatenate(x) for x in ((column[use], marks), (row[use], np.zeros(len(marks), np.int64)), (n[use], np.full(len(marks), MARK, np.uint32))))
+        bucket = ((column >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(ends)):
+            part = order[ends[k] : ends[k + 1]]
+            out.append((int(k), column[part].tobytes() + row[part].tobytes() + n[part].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "block"])
+
+    held: list[tuple[int, int, np.ndarray]] = []
+    size = 0
+    for x in rows:
+        held.append(x)
+        size += len(x[2])
+        if size >= most:
+            yield flush(held)
+            held, size = [], 0
+    if size:
+        yield flush(held)
+
+
+def bucket_product(blocks: list[bytes], passed: bool, wide: int, percent: int) -> tuple[np.ndarray, ...]:
+    """A bucket's part of the product: a, b, n_a, n_b, shared of each pair of rows that share columns of up to wide
+    entries; and, where shared is 0, rows a of wider columns b. passed: all columns are wide."""
+    counts = [len(x) // ENTRY for x in blocks]
+    column = np.concatenate([np.frombuffer(x, np.uint64, k) for x, k in zip(blocks, counts, strict=True)])
+    row = np.concatenate([np.frombuffer(x, np.int64, k, 8 * k) for x, k in zip(blocks, counts, strict=True)])
+    n = np.concatenate([np.frombuffer(x, np.uint32, k, 16 * k) for x, k in zip(blocks, counts, strict=True)])
+    order = np.lexsort((row, column))
+    column, row, n = column[order], row[order], n[order]
+    new = np.concatenate([[True], (column[1:] != column[:-1]) | (row[1:] != row[:-1])]) if len(column) else np.zeros(0, bool)
+    column, row, n = column[new], row[new], n[new].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]])) if len(column) else np.zeros(0, int)
+    uses = np.diff(np.append(first, len(column)))
+    marked = np.add.reduceat(n == MARK, first) > 0 if len(first) else np.zeros(0, bool)
+    crowd = np.repeat(marked | (uses > wide) | passed, uses) & (n != MARK)
+    light = np.repeat((uses > 1) & (uses <= wide) & ~marked, uses) & (not passed)
+    wide_row, wide_column = row[crowd], column[crowd].view(np.int64)
+    column, row, n = column[light], row[light], n[light]
+    found: list[np.ndarray] = []
+    at = np.arange(len(column))
+    for step in range(1, wide):
+        at = at[: np.searchsorted(at, len(column) - step)]
+        at = at[column[at] == column[at + step]]
+        if not len(at):
+            break
+        good = at[(100 * n[at] >= percent * n[at + step]) & (100 * n[at + step] >= percent * n[at])]
+        found.append(np.stack([row[good], row[good + step], n[good], n[good + step]]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+    pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+    head = np.flatnonzero(np.concatenate([[True], (pairs[:2, 1:] != pairs[:2, :-1]).any(axis=0)])) if pairs.shape[1] else np.zeros(0, int)
+    shared = np.diff(np.append(head, pairs.shape[1]))
+    none = np.zeros(len(wide_row), np.int64)
+    return tuple(np.concatenate(x) for x in ((pairs[0, head], wide_row), (pairs[1, head], wide_column), (pairs[2, head], none), (pairs[3, head], none), (shared, none)))
+
+
 def may_link(n_a: Column, n_b: Column, shared: Column, percent: int) -> Column:
     """Whether a pair's overlap can reach its least value: what it shares in leading columns, plus all that follows."""
     after = lambda n: n - (n - F.ceil(n * percent / 100) + 1)
@@ -126,17 +252,17 @@ def may_link(n_a: Column, n_b: Column, shared: Column, percent: int) -> Column:
 
 
 def multiplied(entries: DataFrame, wide: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of leading entries (gram, digest, n): the pairs (a, b, n_a, n_b) that may link by columns of up to wide
-    entries, and the entries of wider columns (gram, digest)."""
-    columns = stored(entries.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1"), "columns")
-    shared = entries.join(columns.hint("shuffle_hash"), "gram")
-    light = shared.where(F.col("uses") <= wide).groupBy("gram").agg(F.array_sort(F.collect_set(F.struct("digest", "n"))).alias("rows")).where(F.size("rows") > 1)
-    near = lambda x, y: (100 * x["n"] >= percent * y["n"]) & (100 * y["n"] >= percent * x["n"])
-    pairs = F.flatten(F.transform("rows", lambda x, i: F.transform(F.filter(F.slice("rows", i + 2, F.lit(wide)), lambda y: near(x, y)), lambda y: F.struct(x["digest"].alias("a"), y["digest"].alias("b"), x["n"].alias("n_a"), y["n"].alias("n_b")))))
-    pairs = light.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b", "p.n_a", "p.n_b").agg(F.count("*").alias("shared"))
-    pairs = pairs.where(may_link(F.col("n_a"), F.col("n_b"), F.col("shared"), percent)).drop("shared")
-    heavy = columns.where(F.col("uses") > wide).select("gram")
-    return pairs, entries.join(heavy.hint("shuffle_hash"), "gram").select("gram", "digest").distinct()
+    """Of dealt() entries the pairs (a, b) that may link by columns of up to wide entries, and the entries of wider
+    columns (gram, digest)."""
+
+    def product(table: pa.Table) -> pa.Table:
+        out = bucket_product(table.column("block").to_pylist(), table.column("bucket")[0].as_py() < 0, wide, percent)
+        return pa.table([pa.array(x, pa.int64()) for x in out], ["a", "b", "n_a", "n_b", "shared"])
+
+    got = stored(entries.groupBy("bucket").applyInArrow(product, "a long, b long, n_a long, n_b long, shared long"), "product")
+    pairs = got.where("shared > 0").groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
+    pairs = pairs.where(may_link(F.col("n_a"), F.col("n_b"), F.col("shared"), percent)).select("a", "b")
+    return pairs, got.where("shared = 0").select(F.col("b").alias("gram"), F.col("a").alias("digest")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,7 +356,7 @@ def block_products(members: DataFrame, sets: DataFrame, percent: int, block: int
     return dealt.groupBy("hub", "row", "col").applyInArrow(multiply, f"a {kind}, b {kind}")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, wide: int = 64, block: int = 256, max_frequent: int = 300_000, max_broadcast: int = 500_000) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, wide: int = 64, block: int = 256, max_frequent: int = 300_000, max_broadcast: int = 500_000, bucket_entries: int = 500_000) -> DataFrame:
     """One row for each row of docs: id_col, n_shingles (size of its set), component_id (the smallest id that links
     reach, its own included), and copy_of (the smallest id with the same set).
 
@@ -239,42 +365,60 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     and links with nothing: it is its own component. Rows of a null id take no part and have no component. Rows that
     repeat an id are one node of the graph. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = stored(with_sets(source, width, percent, False), "leading")
+    survey = stored(surveyed(source, width), "survey")
+    rows = survey.where("uses is null").select("id", "digest", "n")
     usable = rows.where("digest is not null and id is not null")
-    classes = stored(usable.groupBy("digest").agg(F.min("id").alias("copy_of")), "classes")
+    classes = stored(usable.groupBy("digest").agg(F.min("id").alias("copy_of"), F.first("n").alias("n")), "classes")
+
+    def most_used(uses: DataFrame) -> np.ndarray:
+        """Columns that come last. The order is free, so those beyond the bound may stay where their hash puts them."""
+        often = uses.where(F.col("uses") > wide).orderBy(F.desc("uses"), "gram").limit(max_frequent)
+        return np.sort(often.select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
+
+    def buckets_of(sets: DataFrame) -> int:
+        entries = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+        return max(12, int(entries) // bucket_entries)
+
+    first = most_used(survey.where("uses is not null").groupBy("gram").agg(F.sum("uses").alias("uses")))
+    n_first = buckets_of(classes)
 
-    first = usable.select(F.explode("grams").alias("gram"), "digest", "n")
-    pairs, heavy = multiplied(first, wide, percent)
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries() -> Iterator[tuple[int, int, np.ndarray]]:
+            seen: set[int] = set()
+            for batch, sets, names in set_batches(batches, width):
+                for key, name, g in zip(batch.column("id").is_valid().to_pylist(), names, sets, strict=True):
+                    if key and len(g) and name not in seen:
+                        seen.add(name)
+                        yield name, len(g), led(g, first, percent)
+
+        yield from dealt(entries(), n_first, wide)
+
+    pairs, heavy = multiplied(source.mapInArrow(lead, "bucket long, block binary"), wide, percent)
     pairs = stored(pairs, "pairs")
     hot = stored(heavy.select("digest").distinct(), "hot")
 
     def sets_of(names: DataFrame) -> DataFrame:
         """(id, digest, n, grams) of the first document of each digest."""
-        chosen = classes.join(names, "digest", "left_semi").select(F.col("copy_of").alias("id"), "digest")
-        keys = stored(chosen, "chosen")
-        found = with_sets(source.join(small_side(keys.select("id").distinct(), max_broadcast), "id"), width, percent, True)
+        keys = stored(classes.join(names, "digest", "left_semi").select(F.col("copy_of").alias("id"), "digest"), "chosen")
+        found = whole_sets(source.join(small_side(keys.select("id").distinct(), max_broadcast), "id"), width)
         return found.where("digest is not null").join(small_side(keys, max_broadcast), ["id", "digest"])
 
     hot_sets = stored(sets_of(hot), "hot-sets")
-    frequent = hot_sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("uses")).where(F.col("uses") > wide)
-    # The order of columns is free, so frequent ones beyond the bound may stay where their hash puts them.
-    last = np.sort(frequent.orderBy(F.desc("uses"), "gram").limit(max_frequent).select("gram").toArrow().column("gram").to_numpy())
+    second = most_used(hot_sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("uses")))
+    n_second = buckets_of(hot_sets)
 
-    def reordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = []
-            for g in batch.column("grams"):
-                g = g.values.to_numpy(zero_copy_only=False)
-                late = last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g if len(last) else np.zeros(len(g), bool)
-                grams.append(np.concatenate([g[~late], g[late]])[: leading(len(g), percent)])
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("n"), pa.array(grams, pa.list_(pa.int64()))], ["digest", "n", "grams"])
+    def lead_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries() -> Iterator[tuple[int, int, np.ndarray]]:
+            for batch in batches:
+                for name, n, g in zip(batch.column("digest").to_pylist(), batch.column("n").to_pylist(), batch.column("grams"), strict=True):
+                    yield name, n, led(np.sort(g.values.to_numpy(zero_copy_only=False).view(np.uint64)), second, percent)
+
+        yield from dealt(entries(), n_second, wide)
 
-    second = stored(hot_sets.mapInArrow(reordered, "digest long, n long, grams array<long>"), "leading-again")
-    more, crowded = multiplied(second.select(F.explode("grams").alias("gram"), "digest", "n"), wide, percent)
-    pairs = stored(pairs.unionByName(more).select("a", "b").distinct(), "pairs")
+    more, crowded = multiplied(hot_sets.mapInArrow(lead_again, "bucket long, block binary"), wide, percent)
+    pairs = stored(pairs.unionByName(more).distinct(), "pairs")
 
     # The hub of a crowded column is the row that most crowded columns hold.
     crowded = stored(crowded, "crowded")
@@ -299,6 +443,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     final = components(links)
 
     whole = classes.join(final.withColumnRenamed("node", "copy_of"), "copy_of", "left").select("digest", "copy_of", F.coalesce("component", "copy_of").alias("component"))
-    out = rows.select("id", "digest", "n").join(whole, "digest", "left")
+    out = rows.join(whole, "digest", "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"), F.when(F.col("id").isNotNull(), F.coalesce("copy_of", "id")).alias("copy_of"))
