@@ -121,9 +121,16 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(made, f"id {kind}, digest long, n long, grams array<long>")
 
 
-def surveyed(docs: DataFrame, width: int, least: int = 4, chunk: int = 4_000_000) -> DataFrame:
-    """docs (id, text) as rows (id, digest, n), and beside them rows (gram, uses): the n-grams that at least `least`
-    sets among some `chunk` n-grams of one task hold. What is rarer everywhere isn't frequent."""
+def repeated_columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Columns that more than one of some rows hold, and how many hold them."""
+    grams, uses = np.unique(np.concatenate(sets), return_counts=True)
+    often = uses > 1
+    return grams[often].view(np.int64), uses[often]
+
+
+def surveyed(docs: DataFrame, width: int, chunk: int = 4_000_000) -> DataFrame:
+    """docs (id, text) as rows (id, digest, n), and beside them rows (gram, uses): the n-grams that repeat among some
+    `chunk` n-grams of one task. What never repeats there isn't frequent."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,10 +140,9 @@ def surveyed(docs: DataFrame, width: int, least: int = 4, chunk: int = 4_000_000
         id_type, size = pa.null(), 0
 
         def counted() -> pa.RecordBatch:
-            grams, uses = np.unique(np.concatenate(held), return_counts=True)
-            often = uses >= least
-            none = [pa.nulls(int(often.sum()), t) for t in (id_type, pa.int64(), pa.int64())]
-            return pa.RecordBatch.from_arrays([*none, pa.array(grams[often].view(np.int64)), pa.array(uses[often])], fields)
+            grams, uses = repeated_columns(held)
+            none = [pa.nulls(len(grams), t) for t in (id_type, pa.int64(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*none, pa.array(grams), pa.array(uses)], fields)
 
         for batch, sets, names in set_batches(batches, width):
             id_type = batch.column("id").type
@@ -157,6 +163,25 @@ def surveyed(docs: DataFrame, width: int, least: int = 4, chunk: int = 4_000_000
     return docs.mapInArrow(made, f"id {kind}, digest long, n long, gram long, uses long")
 
 
+def repeated_in(sets: DataFrame, chunk: int = 4_000_000) -> DataFrame:
+    """(gram, uses) of surveyed() for sets (grams)."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for g in batch.column("grams"):
+                held.append(g.values.to_numpy(zero_copy_only=False).view(np.uint64))
+                size += len(held[-1])
+                if size >= chunk:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in repeated_columns(held)], ["gram", "uses"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in repeated_columns(held)], ["gram", "uses"])
+
+    return sets.select("grams").mapInArrow(made, "gram long, uses long")
+
+
 def led(g: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
     """The leading columns of a sorted row, where columns in last (sorted) come after all others."""
     late = last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g if len(last) else np.zeros(len(g), bool)
@@ -373,15 +398,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = stored(usable.groupBy("digest").agg(F.min("id").alias("copy_of"), F.first("n").alias("n")), "classes")
 
     def most_used(uses: DataFrame) -> np.ndarray:
-        """Columns that come last. The order is free, so those beyond the bound may stay where their hash puts them."""
-        often = uses.where(F.col("uses") > wide).orderBy(F.desc("uses"), "gram").limit(max_frequent)
+        """Columns that come last. The order is free, so those beyond the bound may stay where their hash puts them,
+        and half of wide leaves room for uses that no task saw repeat."""
+        often = uses.groupBy("gram").agg(F.sum("uses").alias("uses")).where(F.col("uses") > wide // 2).orderBy(F.desc("uses"), "gram").limit(max_frequent)
         return np.sort(often.select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
 
     def buckets_of(sets: DataFrame) -> int:
         entries = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
         return max(12, int(entries) // bucket_entries)
 
-    first = most_used(survey.where("uses is not null").groupBy("gram").agg(F.sum("uses").alias("uses")))
+    first = most_used(survey.where("uses is not null").select("gram", "uses"))
     n_first = buckets_of(classes)
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,7 +432,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return found.where("digest is not null").join(small_side(keys, max_broadcast), ["id", "digest"])
 
     hot_sets = stored(sets_of(hot), "hot-sets")
-    second = most_used(hot_sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("uses")))
+    second = most_used(repeated_in(hot_sets))
     n_second = buckets_of(hot_sets)
 
     def lead_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
