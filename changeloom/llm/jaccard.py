@@ -98,11 +98,13 @@ def grouped(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
         at = end
 
 
-def set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int | None]]]:
-    """Batches of (id, text) with the set and digest of each row."""
-    for batch in batches:
-        sets = list(grouped(batch.column("text").to_pylist(), width))
-        yield batch, sets, [digest(g) if len(g) else None for g in sets]
+def set_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int = 1000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int | None]]]:
+    """Batches of (id, text), some rows at a time, with the set and digest of each row."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            sets = list(grouped(batch.column("text").to_pylist(), width))
+            yield batch, sets, [digest(g) if len(g) else None for g in sets]
 
 
 def lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -128,7 +130,7 @@ def repeated_columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return grams[often].view(np.int64), uses[often]
 
 
-def surveyed(docs: DataFrame, width: int, chunk: int = 4_000_000) -> DataFrame:
+def surveyed(docs: DataFrame, width: int, chunk: int = 2_000_000) -> DataFrame:
     """docs (id, text) as rows (id, digest, n), and beside them rows (gram, uses): the n-grams that repeat among some
     `chunk` n-grams of one task. What never repeats there isn't frequent."""
     kind = docs.schema["id"].dataType.simpleString()
@@ -163,7 +165,7 @@ def surveyed(docs: DataFrame, width: int, chunk: int = 4_000_000) -> DataFrame:
     return docs.mapInArrow(made, f"id {kind}, digest long, n long, gram long, uses long")
 
 
-def repeated_in(sets: DataFrame, chunk: int = 4_000_000) -> DataFrame:
+def repeated_in(sets: DataFrame, chunk: int = 2_000_000) -> DataFrame:
     """(gram, uses) of surveyed() for sets (grams)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +194,7 @@ ENTRY = 20  # bytes: column, row, size of the row
 MARK = 0xFFFFFFFF  # the size in an entry that says that its column is wide
 
 
-def dealt(rows: Iterator[tuple[int, int, np.ndarray]], buckets: int, wide: int, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def dealt(rows: Iterator[tuple[int, int, np.ndarray]], buckets: int, wide: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Leading entries (digest, n, grams) as blocks for each bucket of columns, some `most` entries at a time. Of a
     column with more than wide entries among these, the bucket gets a mark alone; the entries go to buckets below 0,
     one for each 1000 of them, so that no bucket gathers such a column."""
@@ -381,7 +383,7 @@ def block_products(members: DataFrame, sets: DataFrame, percent: int, block: int
     return dealt.groupBy("hub", "row", "col").applyInArrow(multiply, f"a {kind}, b {kind}")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, wide: int = 64, block: int = 256, max_frequent: int = 300_000, max_broadcast: int = 500_000, bucket_entries: int = 500_000) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, wide: int = 64, block: int = 256, max_frequent: int = 300_000, max_broadcast: int = 500_000, bucket_entries: int = 250_000) -> DataFrame:
     """One row for each row of docs: id_col, n_shingles (size of its set), component_id (the smallest id that links
     reach, its own included), and copy_of (the smallest id with the same set).
 
