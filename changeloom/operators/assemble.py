@@ -41,9 +41,10 @@ def relations(messages: DataFrame) -> DataFrame:
 def with_relation(changes: DataFrame, messages: DataFrame) -> DataFrame:
     """As-of join: changes with rel, the newest version of their relation before them; null where there is none.
     Relations change rarely, so this is an equi-join with few versions for each key and not a window over the log."""
-    versions = relations(messages).withColumnRenamed("rel", "_rel")
-    on = changes["slot"].eqNullSafe(versions["slot"]) & (changes["rel_id"] == versions["rel_id"]) & (changes["seq"] >= versions["since"]) & (versions["until"].isNull() | (changes["seq"] < versions["until"]))
-    return changes.drop("rel").join(versions, on, "left").drop(versions["slot"], versions["rel_id"]).drop("since", "until").withColumnRenamed("_rel", "rel")
+    # Other names throughout: both sides may come from one table.
+    versions = relations(messages).toDF("_slot", "_rel_id", "_rel", "_since", "_until")
+    on = F.col("slot").eqNullSafe(F.col("_slot")) & (F.col("rel_id") == F.col("_rel_id")) & (F.col("seq") >= F.col("_since")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until")))
+    return changes.drop("rel").join(versions, on, "left").withColumn("rel", F.col("_rel")).drop("_slot", "_rel_id", "_rel", "_since", "_until")
 
 
 def grouped(messages: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThanOrEqual, InputPartition
 
 from changeloom.model import MESSAGE
@@ -164,3 +165,9 @@ class WalCapture(DataSource):
 
     def streamReader(self, schema) -> CaptureStream:  # noqa: N802
         return CaptureStream(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the source known to a session, and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(WalCapture)
