@@ -190,3 +190,8 @@ def encoder(path: str | None, chunk_chars: int = 50_000) -> Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _made[key] = Encoder(path, chunk_chars=chunk_chars)
     return _made[key]
+
+
+def forget() -> None:
+    """Let go of this process's encoders. Spark uses its workers again, and other operators have no use for them."""
+    _made.clear()

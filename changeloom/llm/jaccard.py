@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeloom.llm import encoding
 from changeloom.llm.components import components
 from changeloom.llm.phrases import mixed
 from changeloom.llm.text import ship, small_side, stored
@@ -100,6 +101,7 @@ def grouped(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
 
 def set_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int = 1000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int | None]]]:
     """Batches of (id, text), some rows at a time, with the set and digest of each row."""
+    encoding.forget()
     for whole in batches:
         for at in range(0, whole.num_rows, rows):
             batch = whole.slice(at, rows)
@@ -296,19 +298,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of digests those that link, as links (a, b) of rows' ids, by exact intersection."""
     left = sets.select(F.col("digest").alias("a"), F.col("id").alias("id_a"), F.col("grams").alias("g_a"))
     right = sets.select(F.col("digest").alias("b"), F.col("id").alias("id_b"), F.col("grams").alias("g_b"))
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(batch.column("g_a"), batch.column("g_b"), strict=True)):
-                p, q = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good[k] = 100 * both >= percent * (len(p) + len(q) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("id_a").filter(pa.array(good)), batch.column("id_b").filter(pa.array(good))], ["a", "b"])
-
-    kind = sets.schema["id"].dataType.simpleString()
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("id_a", "id_b", "g_a", "g_b")
-    return joined.mapInArrow(kept, f"a {kind}, b {kind}")
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = F.size(F.array_intersect("g_a", "g_b")).cast("long")
+    return joined.where((100 + percent) * both >= percent * (F.size("g_a") + F.size("g_b")).cast("long")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def block_links(rows: list[np.ndarray], others: list[np.ndarray], percent: int, step: int = 8192) -> tuple[np.ndarray, np.ndarray]:
