@@ -57,37 +57,58 @@ def atoms(stretch: str) -> list[str]:
     return out
 
 
+class Known(dict):
+    """Stretch without the space before it -> its ids. What no longer fits is found in spare, which learn() empties."""
+
+    spare: dict[str, bytes]
+
+    def __init__(self):
+        self.spare = {}
+
+    def __missing__(self, key: str) -> bytes:
+        return self.spare[key]
+
+
 class Encoder:
     """ids(texts) gives each text's ids as little-endian uint32 bytes, as the library gives them without added
     special tokens. Keeps up to cache_size stretches of at most 64 characters."""
 
-    def __init__(self, path: str, cache_size: int = 700_000, chunk_chars: int = 50_000, overlap: int = 400):
+    def __init__(self, path: str, cache_size: int = 600_000, chunk_chars: int = 50_000, overlap: int = 400):
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
         self.tokenizer = Tokenizer.from_file(path)
         self.cut, self.cache_size = can_cut(spec), cache_size
-        self.cache: dict[str, bytes] = {}
-        self.atoms: dict[str, bytes] = {}
+        self.cache = Known()
+        self.tails: dict[str, bytes] = {}  # parts of stretches other than their first
         self.chunk, self.overlap = chunk_chars, overlap
         self.margin = 2 + max([0, *(len(a["content"]) for a in spec.get("added_tokens", []))])
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, stretches: list[str]) -> list[str]:
-        """Put clean stretches that follow a space into the cache; returns those to take out again after use."""
-        fresh = [s for s in set(stretches) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()]
-        made = {s: atoms(s) for s in fresh}
-        new = list({a for parts in made.values() for a in parts}.difference(self.atoms))
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            self.atoms.update(zip(part, self.plain(part), strict=True))
-        self.cache.update((s, b"".join([self.atoms[a] for a in parts])) for s, parts in made.items())
-        if len(self.atoms) > self.cache_size:
-            for a in new:
-                del self.atoms[a]
-        return fresh if len(self.cache) > self.cache_size else []
+    def learn(self, stretches: list[str]) -> None:
+        """Make the ids of clean stretches that follow a space known, until the next call where the cache is full."""
+        made = {s: atoms(s) for s in set(stretches) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()}
+        known = self.cache
+        known.spare = {}
+        heads = list({parts[0] for parts in made.values() if parts[0][1:] not in known})
+        tails = list({a for parts in made.values() for a in parts[1:]}.difference(self.tails))
+        fresh: dict[str, bytes] = {}
+        for some, kept in ((heads, fresh), (tails, self.tails)):
+            for at in range(0, len(some), 5000):
+                kept.update(zip(some[at : at + 5000], self.plain(some[at : at + 5000]), strict=True))
+        for s, (head, *rest) in made.items():
+            if head in fresh:
+                ids, into = fresh[head], known.spare  # of words met once few come again, least of all with a mark
+            else:
+                ids, into = known[head[1:]], known if rest and "\n" not in s and len(known) < self.cache_size else known.spare
+            into[s] = b"".join([ids, *(self.tails[a] for a in rest)]) if rest else ids
+        for head, ids in fresh.items():
+            (known if len(known) < self.cache_size and "\n" not in head else known.spare)[head[1:]] = ids
+        if len(self.tails) > self.cache_size // 8:
+            for a in tails:
+                del self.tails[a]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.cut:
@@ -106,7 +127,7 @@ class Encoder:
     def group(self, texts: list[str]) -> list[bytes]:
         parts = [[t] if len(t) > self.chunk or UNSURE in t else t.split(" ") for t in texts]
         known = self.cache
-        extra = self.learn([s for p in parts for s in p[1:] if s not in known])
+        self.learn([s for p in parts for s in p[1:] if s not in known])
         heads = self.plain([p[0] if len(p[0]) <= self.chunk and not p[0][-1:].isspace() else "" for p in parts])
         ids_of: Callable[[str], bytes] = known.__getitem__
         out: list[bytes] = []
@@ -120,8 +141,6 @@ class Encoder:
                 out.append(head + b"".join(map(ids_of, p[1:])))
             except KeyError:
                 out.append(self.careful(text))
-        for s in extra:
-            del self.cache[s]
         return out
 
     def careful(self, text: str) -> bytes:
@@ -129,7 +148,7 @@ class Encoder:
         if UNSURE in text:
             return self.plain([text])[0]
         first, *rest = CUT.split(text)
-        odd = list({s for s in rest if s not in self.cache})
+        odd = list({s for s in rest if s not in self.cache and s not in self.cache.spare})
         own = dict(zip(odd, self.plain([" " + s for s in odd]), strict=True))
         return self.plain([first])[0] + b"".join(own[s] if s in own else self.cache[s] for s in rest)
 

@@ -65,9 +65,9 @@ def unpack(packed: np.ndarray, n: int, width: int) -> np.ndarray:
 def encode_file(ids: np.ndarray, documents: list[tuple[int | None, int]], share: float = 0.95) -> bytes:
     """The bytes of a file. A block's width is that of its share-quantile; larger numbers are exceptions."""
     full, blocks = len(ids) // BLOCK * BLOCK, []
-    for part in (ids[:full].reshape(-1, BLOCK), ids[full:].reshape(1, -1) if full < len(ids) else ids[:0].reshape(0, 1)):
-        if not len(part):
-            continue
+    whole = ids[:full].reshape(-1, BLOCK)
+    parts = [whole[k : k + 256] for k in range(0, len(whole), 256)]  # some at a time, as packing takes many times their size
+    for part in [*parts, ids[full:].reshape(1, -1)] if full < len(ids) else parts:
         low = part.min(axis=1)
         rest = part - low[:, None]
         middle = np.partition(rest, k := min(part.shape[1] - 1, int(share * part.shape[1])), axis=1)[:, k]
