@@ -152,13 +152,12 @@ def q10_relation_asof(spark, sf):
 
 @query("{wal} select txid xid, count(*) n_events from wal where txid % 7 <> 3 and txid % 11 <> 5 group by txid")
 def q11_begin_without_commit(spark, sf):
-    """Every seventh commit and every eleventh begin is lost: what is open at the next begin is discarded, and changes
-    without a begin stand outside."""
+    """Every seventh commit and every eleventh begin is lost: what is open at the next begin is discarded, changes
+    without a begin stand outside, and where both are lost at one place the open transaction takes in the next one's
+    changes and commit. The SQL above leaves such transactions out; tests/test_lost_messages.py has them."""
     tx = F.floor(F.col("seq") / 8) - 1
     lost = ((F.col("msg") == "C") & (tx % 7 == 3)) | ((F.col("msg") == "B") & (tx % 11 == 5))
-    got = assemble.assemble(messages(spark, sf).where(~lost))
-    right = got.transactions.where((F.col("xid") % 11 != 5))
-    return right.select("xid", "n_events").where("xid % 7 <> 3")
+    return assemble.assemble(messages(spark, sf).where(~lost)).transactions.select("xid", "n_events")
 
 
 ACKED = "(lsn // 64) % 997 <> 996"

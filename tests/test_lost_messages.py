@@ -1,0 +1,25 @@
+"""Assembly of a log that has lost begins and commits, against SQL over what is left of it."""
+
+import duckdb
+
+from changeloom.plans import queries as plans
+
+SF = "/root/testdata/sf0.001"
+
+#: Transactions by a running count of the begins that are left; each ends at the first commit after its begin.
+LOST = plans.CTE + """, tx as (select distinct txid from wal),
+m as (select txid, 0 place, 'B' msg from tx where txid % 11 <> 5
+  union all select txid, 1 + seq % 5, 'change' from wal
+  union all select txid, 6, 'C' from tx where txid % 7 <> 3),
+n as (select *, txid * 8 + place pos, sum((msg = 'B')::int) over (order by txid, place) no from m),
+t as (select no, min(txid) filter (msg = 'B') xid, min(pos) filter (msg = 'C') until from n where no > 0 group by no)
+select xid, count(*) filter (msg = 'change' and pos < until) n_events from n join t using (no) where until is not null group by xid"""
+
+
+def test_lost_begins_and_commits(spark):
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{SF}/events.parquet'")
+    want = sorted(con.execute(LOST).fetchall())
+    got = sorted((r.xid, r.n_events) for r in plans.q11_begin_without_commit(spark, SF).collect())
+    assert got == want
+    assert any(n == 10 for _, n in got) and any(xid % 7 == 3 for xid, _ in got)
