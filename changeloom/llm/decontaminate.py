@@ -45,8 +45,8 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
 
 
 def contamination(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), max_broadcast_windows: int = 200_000) -> DataFrame:
-    """Word counts and verified hits for each document: id_col, the columns keep, n_words, n_hit, items (sorted ids
-    as strings), spans (first word from 0, and width, of each window found).
+    """Word counts and verified hits for each document: id_col, text_version (a hash of the text), the columns keep,
+    n_words, n_hit, items (sorted ids as strings), spans (first word from 0, and width, of each window found).
 
     All n-grams of a text are hashed in one pass and held against the hash set of the windows; those in it become
     words again and are joined with the windows by those words. The set goes to the tasks inside the plan while it
@@ -87,7 +87,7 @@ def contamination(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", t
         spans, F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda a, x: F.struct(F.greatest(a["end"], x["at"] + x["width"]).alias("end"), (a["n"] + F.greatest(F.lit(0), x["at"] + x["width"] - F.greatest(a["end"], x["at"]))).alias("n")),
     )["n"]
-    return hits.select(F.col("id").alias(id_col), *[F.col(f"keep_{c}").alias(c) for c in keep], "n_words", covered.alias("n_hit"), F.sort_array("items").alias("items"), spans.alias("spans"))
+    return hits.select(F.col("id").alias(id_col), F.col("version").alias("text_version"), *[F.col(f"keep_{c}").alias(c) for c in keep], "n_words", covered.alias("n_hit"), F.sort_array("items").alias("items"), spans.alias("spans"))
 
 
 def is_contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
@@ -95,15 +95,22 @@ def is_contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
     return (n_hit > 0) & (n_hit * share >= n_words)
 
 
-def remove_documents(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without those that are contaminated by found, the rows of contamination()."""
-    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti")
+def same_document(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """A row of docs has _id, null or not, and the text of _version."""
+    return docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_version"))
+
+
+def remove_documents(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without those that are contaminated by found, the rows of contamination(). Of rows that repeat an id, or
+    have none, those with a contaminated text go."""
+    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("_id"), F.col("text_version").alias("_version")).distinct()
+    return docs.join(bad, same_document(docs, id_col, text_col), "left_anti")
 
 
 def remove_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the words of found spans cut out of their texts; what stands between words stays."""
-    spans = found.where("n_hit > 0").select(id_col, F.col("spans").alias("found_spans"))
+    """docs with the words of found spans cut out of their texts; what stands between words stays. Rows that repeat
+    an id, or have none, lose what was found in their own text."""
+    spans = found.where("n_hit > 0").select(F.col(id_col).alias("_id"), F.col("text_version").alias("_version"), F.col("spans").alias("found_spans")).dropDuplicates(["_id", "_version"])
     parts = F.regexp_extract_all(text_col, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
 
     def cut(p: Column) -> Column:
@@ -112,6 +119,6 @@ def remove_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text
         gone = lambda i: F.exists("found_spans", lambda s: ((i - lead) % 2 == 0) & (word(i) >= s["at"]) & (word(i) < s["at"] + s["width"]))
         return F.array_join(F.filter(p, lambda x, i: ~gone(i)), "")
 
-    joined = docs.join(spans.hint("shuffle_hash"), id_col, "left")
+    joined = docs.join(spans.hint("shuffle_hash"), same_document(docs, id_col, text_col), "left")
     text = F.when(F.col("found_spans").isNull(), F.col(text_col)).otherwise(let(parts, cut))
     return joined.withColumn(text_col, text).select(*docs.columns)
