@@ -50,6 +50,27 @@ def seeded(id_col: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(id_col.cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long")
 
 
+NEW = ("size", "source_size", "target", "copies")
+
+
+def drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int], total: tuple[int, int], max_epochs: int, seed: str, group_rows: int, max_broadcast_sources: int) -> DataFrame:
+    """For each row of docs: row, a struct of its columns, whatever their names, and NEW."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    id_, source = F.col("row")[id_col], F.col("row")[source_col]
+    rows = rows.withColumn("size", word_count(F.col("row")[text_col]))
+    by_source = rows.groupBy(source.alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    plan = targets(stored(by_source, "source-sizes"), weights, total, max_epochs).withColumnRenamed("source", "plan_source")
+    rows = rows.join(small_side(plan, max_broadcast_sources), source.eqNullSafe(F.col("plan_source")), "left")
+    rows = rows.withColumns({"draw": seeded(id_, seed), "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)})
+    rows = rows.withColumn("group", F.col("draw") % F.ceil(F.col("n") / group_rows))
+    at = F.row_number().over(Window.partitionBy("plan_source", "group").orderBy("size", "draw", id_))
+    part = F.col("rate") - F.floor("rate")
+    start = (seeded(F.concat(F.coalesce("plan_source", F.lit("")), F.lit("/"), F.col("group").cast("string")), seed) % 1_000_000) / F.lit(1e6)
+    rows = rows.withColumns({"at": at, "part": part, "start": start})
+    more = F.floor(F.col("at") * F.col("part") + F.col("start")) - F.floor((F.col("at") - 1) * F.col("part") + F.col("start"))
+    return rows.withColumn("copies", (F.floor("rate") + more).cast("long")).select("row", *NEW)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (3, 1, 2), total: tuple[int, int] = (3, 2), max_epochs: int = 2, seed: str = "mix-1", group_rows: int = 50_000, max_broadcast_sources: int = 100_000) -> DataFrame:
     """docs with size, source_size, target and copies, how often the mix repeats each document.
 
@@ -60,26 +81,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Null and empty texts have size 0 and follow the same rule; a source of size 0 takes no copies. A null source is
     a source of its own. Rows that repeat an id are documents of their own. Columns of docs that clash with the new
-    ones are replaced.
+    ones are replaced; all others stay, whatever their names. repeated() keeps all.
     """
-    new = ["size", "source_size", "target", "copies", "group"]
-    rows = docs.drop(*[c for c in docs.columns if c in new and c not in (id_col, text_col, source_col)])
-    rows = rows.withColumn("size", word_count(F.col(text_col)))
-    by_source = rows.groupBy(F.col(source_col).alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    plan = targets(stored(by_source, "source-sizes"), weights, total, max_epochs).withColumnRenamed("source", "plan_source")
-    rows = rows.join(small_side(plan, max_broadcast_sources), F.col(source_col).eqNullSafe(F.col("plan_source")), "left")
-    rows = rows.withColumns({"draw": seeded(F.col(id_col), seed), "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)})
-    rows = rows.withColumn("group", F.col("draw") % F.ceil(F.col("n") / group_rows))
-    at = F.row_number().over(Window.partitionBy("plan_source", "group").orderBy("size", "draw", id_col))
-    part = F.col("rate") - F.floor("rate")
-    start = (seeded(F.concat(F.coalesce("plan_source", F.lit("")), F.lit("/"), F.col("group").cast("string")), seed) % 1_000_000) / F.lit(1e6)
-    rows = rows.withColumns({"at": at, "part": part, "start": start})
-    more = F.floor(F.col("at") * F.col("part") + F.col("start")) - F.floor((F.col("at") - 1) * F.col("part") + F.col("start"))
-    rows = rows.withColumn("copies", (F.floor("rate") + more).cast("long"))
-    return rows.drop("plan_source", "n", "draw", "rate", "group", "at", "part", "start")
+    rows = drawn(docs, id_col, text_col, source_col, weights, total, max_epochs, seed, group_rows, max_broadcast_sources)
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in NEW], *NEW)
 
 
-def repeated(mixed: DataFrame) -> DataFrame:
-    """The rows of mix(), each as often as its copies say, without the columns that mix() added."""
-    out = mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return out.drop("size", "source_size", "target", "copies", "copy")
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (3, 1, 2), total: tuple[int, int] = (3, 2), max_epochs: int = 2, seed: str = "mix-1", group_rows: int = 50_000, max_broadcast_sources: int = 100_000) -> DataFrame:
+    """The rows of docs, each as often as its copies in mix() say, with all columns of docs and no others."""
+    rows = drawn(docs, id_col, text_col, source_col, weights, total, max_epochs, seed, group_rows, max_broadcast_sources)
+    return rows.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

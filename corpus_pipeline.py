@@ -37,7 +37,7 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target has it, which may be never."""
-    return mixing.repeated(mixing.mix(docs)).select(*docs.columns)
+    return mixing.repeated(docs).select(*docs.columns)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

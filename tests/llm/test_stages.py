@@ -40,3 +40,19 @@ def test_one_of_each_group_stays(spark):
     rows = [(4, copy), (2, copy), (9, copy), (None, copy), (None, own), (5, own), (6, ""), (7, None)]
     got = kept(corpus_pipeline.keep_one_of_each_group(spark, table(spark, rows), ""))
     assert got == Counter([(2, copy), (None, copy), (None, own), (5, own), (6, ""), (7, None)])
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    from changeloom.llm import mixing
+
+    names = ("n", "rate", "draw", "at", "part", "start", "plan_source", "group", "size", "source_size", "target", "copies", "copy", "row", "col")
+    rows = [(k if k % 9 else None, f"w{k} " * (k % 7), *[f"{n}{k}" for n in names]) for k in range(40)]
+    docs = table(spark, rows, "".join(f", {n} string" for n in names))
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    copies = {r.text: r.copies for r in mixing.mix(plain.where("doc_id is not null")).collect()}
+    got = corpus_pipeline.mix_sources(spark, docs.where("doc_id is not null"), "")
+    assert got.columns == docs.columns
+    by_row = Counter(tuple(r) for r in got.collect())
+    want = {tuple(r): copies[r.text] for r in docs.where("doc_id is not null and text <> ''").collect()}
+    assert {r: n for r, n in by_row.items() if r[1]} == {r: n for r, n in want.items() if n}
+    assert Counter(r[1] for r in corpus_pipeline.mix_sources(spark, docs, "").collect()) == Counter(r.text for r in mixing.repeated(plain).collect())
