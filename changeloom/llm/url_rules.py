@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -47,65 +49,116 @@ def tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.when(F.length(host) > 0, F.concat(suffixes, words, parts)).otherwise(parts))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.9, min_count: int = 20, window: int = 12) -> DataFrame:
-    """Association rules (tokens, verdict, confidence, support) from labelled (tokens, verdict), by FP-growth over
-    the tokens with the verdict as one more item. A rule holds for min_support of the baskets and for min_count of
-    them at least, so a few URLs make no rule.
+class Mined(NamedTuple):
+    """rules: items (array, sorted), verdict, confidence, support. members: token, item; an item stands for tokens that
+    always come together among the labelled URLs, and a URL has it if it has one of them."""
 
-    A long URL becomes overlapping windows of at most window tokens, so the item sets of one URL number 2^window at
-    most; no token is left out. Of rules for one verdict, those that only narrow a rule of at least the same
-    confidence go. No labelled rows give no rules.
+    rules: DataFrame
+    members: DataFrame
+
+
+RULE = "items array<string>, verdict string, confidence double, support double"
+
+
+def frequent_items(baskets: DataFrame, least: int) -> DataFrame:
+    """Of baskets (basket, tokens, verdict) the tokens that at least `least` of them hold: token, item, uses, and
+    verdict where all baskets with the token have the same one. Tokens that the same baskets hold, by two 64-bit sums
+    over these, are one item, named by the least of them. There are at most all tokens / least such rows."""
+    seen = baskets.select("basket", F.xxhash64("verdict").alias("v"), F.explode("tokens").alias("token"))
+    stats = seen.groupBy("token").agg(
+        F.count("*").alias("uses"), F.bit_xor(F.xxhash64("basket")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "basket")).alias("y"), F.min("v").alias("low"), F.max("v").alias("high"),
+    )
+    stats = stored(stats.where(F.col("uses") >= least), "url-tokens")
+    items = stats.groupBy("uses", "x", "y").agg(F.min("token").alias("item"))
+    names = baskets.select("verdict").distinct().select(F.xxhash64("verdict").alias("low"), "verdict")
+    pure = stats.join(items, ["uses", "x", "y"]).join(names, "low").withColumn("verdict", F.when(F.col("low") == F.col("high"), F.col("verdict")))
+    return pure.select("token", "item", "uses", "verdict")
+
+
+def indexed(rules: DataFrame) -> DataFrame:
+    """An inverted index of rules: each once, under the item that the fewest rules have."""
+    posting = rules.select("items", F.explode("items").alias("item"))
+    spread = posting.groupBy("item").agg(F.count("*").alias("uses"))
+    rarest = posting.join(spread, "item").groupBy("items").agg(F.min_by("item", F.struct("uses", "item")).alias("item"))
+    return rules.join(rarest, "items").select(F.col("items").alias("rule_items"), "verdict", "confidence", "support", "item")
+
+
+def pruned(rules: DataFrame) -> DataFrame:
+    """rules without those that only narrow a rule for the same verdict of at least the same confidence."""
+    wider = indexed(rules).select("rule_items", "item", "verdict", F.col("confidence").alias("wider_confidence"))
+    narrow = rules.withColumn("item", F.explode("items")).join(wider, ["item", "verdict"])
+    covered = narrow.where((F.size("rule_items") < F.size("items")) & (F.col("wider_confidence") >= F.col("confidence")) & (F.size(F.array_except("rule_items", "items")) == 0))
+    return rules.join(covered.select("items", "verdict").distinct(), ["items", "verdict"], "left_anti").select("items", "verdict", "confidence", "support")
+
+
+def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.9, min_count: int = 20, max_broadcast: int = 100_000) -> Mined:
+    """Association rules from labelled (tokens, verdict), by FP-growth over the tokens with the verdict as one more
+    item; each URL is one basket, however long. A rule holds for min_support of the baskets and for min_count of them
+    at least, so a few URLs make no rule, and has min_confidence. Of rules for one verdict, those that only narrow a
+    rule of at least the same confidence go.
+
+    Item sets grow as 2 to the power of a basket's items, so baskets first lose what can't change these rules: tokens
+    below the support; all but one of the tokens that the same baskets hold, since they make the same rules; and
+    tokens that only ever come with one verdict. Such a token is a rule by itself, of confidence 1; every other rule
+    with it would narrow that one, or have confidence 0. No labelled rows give no rules.
     """
     spark = labelled.sparkSession
-    schema = "tokens array<string>, verdict string, confidence double, support double"
-    step = window // 2
-    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - window + step - 1, F.lit(0)), F.lit(step))
-    baskets = labelled.where(F.size("tokens") > 0).select("verdict", F.explode(F.transform(starts, lambda i: F.slice("tokens", i + 1, F.lit(window)))).alias("part"))
-    baskets = stored(baskets.select(F.concat("part", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items")), "url-baskets")
+    baskets = stored(labelled.where((F.size("tokens") > 0) & F.col("verdict").isNotNull()).select("tokens", "verdict", F.monotonically_increasing_id().alias("basket")), "url-baskets")
     n = baskets.count()
-    if n < min_count:
-        return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
-    is_label = lambda x: x.startswith(LABEL)
-    found = model.associationRules.where(is_label(F.col("consequent")[0]) & ~F.exists("antecedent", is_label))
-    found = stored(found.select(F.sort_array("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", "support"), "url-rules")
-    wide, narrow = found.alias("w"), found.alias("n").withColumn("token", F.explode("tokens"))
-    wider = wide.select(F.col("tokens").alias("w_tokens"), F.col("verdict"), F.col("confidence").alias("w_confidence"), F.col("tokens")[0].alias("token"))
-    covered = narrow.join(wider, ["verdict", "token"]).where((F.size("w_tokens") < F.size("tokens")) & (F.col("w_confidence") >= F.col("confidence")) & (F.size(F.array_except("w_tokens", "tokens")) == 0))
-    return found.join(covered.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti").select("tokens", "verdict", "confidence", "support")
-
-
-def match_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", max_broadcast_rules: int = 50_000) -> DataFrame:
-    """For each id the best mined rule that holds for its tokens: id_col, mined (verdict, confidence, support,
-    tokens). An inverted index lists each rule once, under its rarest token; a page looks up its tokens and the rest
-    of a rule is checked on the spot. Pages without a fitting rule are left out."""
-    posting = rules.select("tokens", F.explode("tokens").alias("token"))
-    spread = posting.groupBy("token").agg(F.count("*").alias("uses"))
-    rarest = posting.join(spread, "token").groupBy("tokens").agg(F.min_by("token", F.struct("uses", "token")).alias("token"))
-    index = stored(rules.join(rarest, "tokens").select(F.col("tokens").alias("rule_tokens"), "verdict", "confidence", "support", "token"), "url-index")
-    looked = pages.select(id_col, F.col("tokens").alias("all_tokens"), F.explode("tokens").alias("token"))
-    fits = looked.join(small_side(index, max_broadcast_rules), "token").where(F.size(F.array_except("rule_tokens", "all_tokens")) == 0)
-    best = F.struct("confidence", "support", F.size("rule_tokens").alias("size"), "verdict", "rule_tokens")
-    return fits.groupBy(id_col).agg(F.max(best).alias("mined"))
-
-
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", min_support: float = 0.002, min_confidence: float = 0.9) -> DataFrame:
-    """id_col, host, path, rule, verdict and mined (the tokens of the mined rule that decided, or null).
+    least = max(math.ceil(min_support * n), min_count)
+    if n < least:
+        return Mined(spark.createDataFrame([], RULE), spark.createDataFrame([], "token string, item string"))
+    frequent = stored(frequent_items(baskets, least), "url-items")
+    alone = frequent.where("verdict is not null and token = item").select(F.array("item").alias("items"), "verdict", F.lit(1.0).alias("confidence"), (F.col("uses") / n).alias("support"))
+    open_items = frequent.where("verdict is null").select("token", "item")
+    held = baskets.select("basket", "verdict", F.explode("tokens").alias("token")).join(small_side(open_items, max_broadcast), "token")
+    reduced = held.groupBy("basket", "verdict").agg(F.collect_set("item").alias("items")).select(F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+    reduced = stored(reduced, "url-reduced")
+    rules, n_reduced = alone, reduced.count()
+    if n_reduced >= least:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_reduced, minConfidence=min_confidence, numPartitions=parts).fit(reduced)
+        is_label = lambda x: x.startswith(LABEL)
+        found = model.associationRules.where(is_label(F.col("consequent")[0]) & ~F.exists("antecedent", is_label))
+        found = found.select(F.sort_array("antecedent").alias("items"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", (F.col("support") * n_reduced / n).alias("support"))
+        rules = alone.unionByName(pruned(stored(found, "url-found")))
+    rules = stored(rules, "url-rules")
+    return Mined(rules, frequent.select("token", "item").join(rules.select(F.explode("items").alias("item")).distinct(), "item", "left_semi"))
+
+
+def match_rules(pages: DataFrame, mined: Mined, max_broadcast: int = 100_000) -> DataFrame:
+    """The best mined rule that holds for pages (host, path, tokens): host, path and mined (confidence, support, size,
+    verdict, rule_items), a row for each pair of host and path that has one. A page looks up its items in the inverted
+    index of the rules, and the rest of a rule is checked on the spot."""
+    tokens_of = pages.select("host", "path", "tokens").dropDuplicates(["host", "path"]).select("host", "path", F.explode("tokens").alias("token"))
+    items = tokens_of.join(small_side(stored(mined.members, "url-members"), max_broadcast), "token").groupBy("host", "path").agg(F.collect_set("item").alias("items"))
+    looked = items.select("host", "path", F.col("items").alias("all_items"), F.explode("items").alias("item"))
+    index = stored(indexed(mined.rules), "url-index")
+    fits = looked.join(small_side(index, max_broadcast), "item").where(F.size(F.array_except("rule_items", "all_items")) == 0)
+    best = F.struct("confidence", "support", F.size("rule_items").alias("size"), "verdict", "rule_items")
+    return fits.groupBy("host", "path").agg(F.max(best).alias("mined"))
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", min_support: float = 0.002, min_confidence: float = 0.9, min_count: int = 20) -> DataFrame:
+    """id_col, host, path, rule, verdict and mined (the items of the mined rule that decided, or null), a row for each
+    row of pages.
 
     The longest fitting curated rule decides. Other URLs get the verdict of the best mined rule that holds for them,
-    and allow where none does. Rules are mined from labels (id_col, verdict), where given, and else from the pages
-    that the curated rules judge. A null URL, or one without ://, has neither host nor tokens and is allowed. Rows
-    that repeat an id share the verdict of the best rule that holds for one of them. Other columns are ignored.
+    by confidence, then support, then length, and allow where none does. Rules are mined from labels (id_col,
+    verdict), where given, and else from the pages that the curated rules judge. A null URL, or one without ://, has
+    neither host nor tokens and is allowed. Each row is judged by its own host and path, so null and repeated ids,
+    like repeated URLs, are rows as any others. Other columns are ignored.
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("tokens", tokens(F.col("host"), F.col("path")))
+    rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
+    own = rows.withColumn("tokens", tokens(F.col("host"), F.col("path")))
     if labels is None:
-        labelled = rows.where("fit is not null").select("tokens", F.col("fit.verdict").alias("verdict"))
+        labelled = own.where("fit is not null").select("tokens", F.col("fit.verdict").alias("verdict"))
     else:
-        labelled = rows.join(labels.select(F.col(id_col).alias("page"), "verdict"), "page").select("tokens", "verdict")
-    found = match_rules(rows.where("fit is null and page is not null"), mine_rules(labelled, min_support, min_confidence), "page")
-    judged = rows.drop("tokens").join(found, "page", "left")
-    mined = F.when(F.col("fit").isNull(), F.col("mined.rule_tokens"))
-    verdict = F.coalesce("fit.verdict", "mined.verdict", F.lit("allow"))
+        labelled = own.join(labels.select(F.col(id_col).alias("page"), "verdict").where("verdict is not null"), "page").select("tokens", "verdict")
+    found = match_rules(own.where("fit is null"), mine_rules(labelled, min_support, min_confidence, min_count))
+    judged = rows.join(found, ["host", "path"], "left")
+    mined = F.when(F.col("fit").isNull(), F.col("mined.rule_items"))
+    verdict = F.coalesce("fit.verdict", F.when(F.col("fit").isNull(), F.col("mined.verdict")), F.lit("allow"))
     return judged.select(F.col("page").alias(id_col), "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"), mined.alias("mined"))
