@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from changeloom.model import UNCHANGED
+from changeloom.model import BOOLEAN_OID, INTEGER_OIDS, JSON_OIDS, NUMBER_OIDS, UNCHANGED
 
 
 def decoded(cells: Column, columns: Column) -> Column:
@@ -22,28 +22,58 @@ def decoded(cells: Column, columns: Column) -> Column:
     return F.transform(cells, one)
 
 
-def image(values: Column, unchanged: str = "omit") -> Column:
-    """name -> text of a decoded tuple, null for an empty one. Values that the log didn't send are left out, or stand
-    as a sentinel where unchanged is "sentinel". The last of equal names counts."""
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once for each row, however often body refers to it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def image(values: Column, unchanged: str = "omit", typed: bool = False) -> Column:
+    """name -> text of a decoded tuple, by sorted names, null for an empty one; typed: name -> its variant. Values that
+    the log didn't send are left out, or stand as a sentinel where unchanged is "sentinel". The last of equal names
+    counts. The names are sorted once, so the cost is about linear in the columns."""
     kept = values if unchanged == "sentinel" else F.filter(values, lambda v: v["kind"] != "u")
-    entries = F.transform(kept, lambda v: F.struct(v["name"].alias("key"), F.when(v["kind"] == "u", UNCHANGED).otherwise(v["text"]).alias("value")))
-    last = F.filter(entries, lambda v, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda w: w["key"] == v["key"]))
-    return F.when(F.size(last) > 0, F.map_from_entries(last))
+    sent = lambda v: v["value"] if typed else v["text"]
+    sentinel = F.lit(UNCHANGED).cast("variant") if typed else F.lit(UNCHANGED)
+
+    def mapped(v: Column) -> Column:
+        order = F.array_sort(F.transform(v, lambda x, i: F.struct(x["name"].alias("name"), i.alias("at"))))
+        last = let(order, lambda o: F.filter(o, lambda x, i: ~x["name"].eqNullSafe(F.get(o, i + 1)["name"])))
+        entry = lambda x: F.struct(x["name"].alias("key"), let(F.get(v, x["at"]), lambda c: F.when(c["kind"] == "u", sentinel).otherwise(sent(c))).alias("value"))
+        return F.when(F.size(v) > 0, F.map_from_entries(F.transform(last, entry)))
+
+    return let(kept, mapped)
 
 
 def key_values(before: Column, after: Column) -> Column:
     """The values of the key: of the after image if it has any, else of the before image; all of them where no column
     is a key. A key that the log didn't send with the after image comes from before, where that has it."""
-    row = F.when(F.size(after) > 0, after).otherwise(before)
-    keyed = F.filter(row, lambda v: v["is_key"])
-    chosen = F.when(F.size(keyed) > 0, keyed).otherwise(row)
     old = lambda v: F.filter(before, lambda b: (b["name"] == v["name"]) & (b["kind"] == "t"))[0]
-    return F.transform(chosen, lambda v: F.when((v["kind"] == "u") & before.isNotNull(), F.coalesce(old(v), v)).otherwise(v))
+    known = lambda v: F.when((v["kind"] == "u") & before.isNotNull(), F.coalesce(old(v), v)).otherwise(v)
+
+    def chosen(row: Column) -> Column:
+        return let(F.filter(row, lambda v: v["is_key"]), lambda keyed: F.transform(F.when(F.size(keyed) > 0, keyed).otherwise(row), known))
+
+    return let(F.when(F.size(after) > 0, after).otherwise(before), chosen)
 
 
 def sorted_map(m: Column) -> Column:
     """A map with its keys in order, so that its JSON is the same wherever it is written."""
-    return F.when(m.isNotNull(), F.map_from_entries(F.transform(F.array_sort(F.map_keys(m)), lambda k: F.struct(k, m[k]))))
+    return F.map_from_entries(F.array_sort(F.map_entries(m)))
+
+
+def typed_values(values: Column) -> Column:
+    """A decoded tuple with the field value: the text as a variant by its type, so that numbers, booleans and JSON are
+    such in the output. Text that isn't of its type, like NaN, stays text."""
+
+    def one(v: Column) -> Column:
+        text, oid = v["text"], v["type_oid"]
+        as_ = lambda c: c.cast("variant")
+        number = F.when(oid.isin(*INTEGER_OIDS), as_(text.try_cast("bigint"))).when(oid.isin(*NUMBER_OIDS), F.try_parse_json(text))
+        other = F.when(oid == BOOLEAN_OID, as_(text.isin("t", "true"))).when(oid.isin(*JSON_OIDS), F.try_parse_json(text))
+        value = F.when(text.isNotNull(), F.coalesce(number, other, as_(text)))
+        return F.struct(*[v[c].alias(c) for c in ("name", "type_oid", "kind", "text", "is_key")], value.alias("value"))
+
+    return F.transform(values, one)
 
 
 def json(value: Column) -> Column:

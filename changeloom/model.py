@@ -22,4 +22,7 @@ OPS = ("c", "u", "d", "r")
 CHANGE_MESSAGES = {"I": "c", "U": "u", "D": "d"}
 #: What stands for a value that the log did not send, where such values aren't left out.
 UNCHANGED = "__toast_unchanged"
+#: Type numbers of the database.
 UUID_OID, UUID_ARRAY_OID = 2950, 2951
+BOOLEAN_OID, INTEGER_OIDS, NUMBER_OIDS, JSON_OIDS = 16, (20, 21, 23, 26), (700, 701, 1700), (114, 3802)
+MULTIRANGE_OIDS = (4451, 4532, 4533, 4534, 4535, 4536)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions.cells import change_bytes, decoded
 from changeloom.model import CHANGE_MESSAGES
-from changeloom.operators.scale import running_sum
+from changeloom.operators.scale import joined, running_sum, stored
 
 
 class Assembled(NamedTuple):
@@ -27,9 +27,10 @@ def relevant(messages: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     kept = messages.where(F.col("msg").isin("R", "B", "C", *CHANGE_MESSAGES))
     if tables is None:
         return kept
-    wanted = kept.where("msg = 'R'").select("slot", "rel_id", F.col("rel.schema").alias("schema"), F.col("rel.table").alias("table")).join(tables.select("schema", "table").distinct(), ["schema", "table"], "left_semi")
+    named = kept.where("msg = 'R'").select("slot", "rel_id", F.col("rel.schema").alias("schema"), F.col("rel.table").alias("table"))
+    wanted = named.join(tables.select("schema", "table").distinct(), ["schema", "table"], "left_semi").select("slot", "rel_id").distinct()
     by_relation = F.col("msg").isin("R", *CHANGE_MESSAGES)
-    return kept.where(~by_relation).unionByName(kept.where(by_relation).join(wanted.select("slot", "rel_id").distinct(), ["slot", "rel_id"], "left_semi").select(*kept.columns))
+    return kept.where(~by_relation).unionByName(joined(kept.where(by_relation), wanted, ["slot", "rel_id"], "left_semi"))
 
 
 def relations(messages: DataFrame) -> DataFrame:
@@ -38,59 +39,68 @@ def relations(messages: DataFrame) -> DataFrame:
     return messages.where("msg = 'R'").select("slot", "rel_id", "rel", F.col("seq").alias("since"), F.lead("seq").over(newer).alias("until"))
 
 
-def with_relation(changes: DataFrame, messages: DataFrame) -> DataFrame:
+def with_relation(changes: DataFrame, messages: DataFrame, max_broadcast: int = 20_000, width: int = 10_000_000) -> DataFrame:
     """As-of join: changes with rel, the newest version of their relation before them; null where there is none.
-    Relations change rarely, so this is an equi-join with few versions for each key and not a window over the log."""
+
+    Up to max_broadcast versions go to every task. More are joined by slot, relation and stretch of width positions,
+    each version standing in every stretch that it spans, so that a busy relation is no group of its own.
+    """
     # Other names throughout: both sides may come from one table.
     versions = relations(messages).toDF("_slot", "_rel_id", "_rel", "_since", "_until")
     on = F.col("slot").eqNullSafe(F.col("_slot")) & (F.col("rel_id") == F.col("_rel_id")) & (F.col("seq") >= F.col("_since")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until")))
-    return changes.drop("rel").join(versions, on, "left").withColumn("rel", F.col("_rel")).drop("_slot", "_rel_id", "_rel", "_since", "_until")
-
-
-def grouped(messages: DataFrame) -> DataFrame:
-    """messages with tx_no, how many transactions of the slot have begun, and end_seq, where that transaction's first
-    commit stands; null if it has none before the next begins."""
-    numbered = running_sum(messages, F.when(F.col("msg") == "B", 1).otherwise(0), "tx_no", ["slot"], "seq")
-    ends = numbered.where("msg in ('B', 'C') and tx_no > 0").groupBy("slot", "tx_no").agg(
-        F.min(F.when(F.col("msg") == "C", F.struct("seq", "lsn", "commit_ts"))).alias("end"),
-        F.min(F.when(F.col("msg") == "B", F.struct("seq", "xid", "lsn", "commit_ts"))).alias("begin"),
-    )
-    return numbered.join(ends, ["slot", "tx_no"], "left")
-
-
-def assemble(messages: DataFrame, max_tx_bytes: int = 64 << 20) -> Assembled:
+    changes = changes.drop("rel")
+    if versions.limit(max_broadcast + 1).count() <= max_broadcast:
+        both = changes.join(F.broadcast(versions), on, "left")
+    else:
+        ends = changes.groupBy(F.col("slot").alias("_end_slot")).agg(F.max("seq").alias("_end"))
+        spans = versions.join(ends, F.col("_slot").eqNullSafe(F.col("_end_slot"))).where("_since <= _end")
+        last = F.floor(F.coalesce("_until", "_end") / width)
+        spans = spans.select(*versions.columns, F.explode(F.sequence(F.floor(F.col("_since") / width), last)).alias("_stretch"))
+        both = changes.join(spans, on & (F.floor(F.col("seq") / width) == F.col("_stretch")), "left").drop("_stretch")
+    return both.withColumn("rel", F.col("_rel")).drop("_slot", "_rel_id", "_rel", "_since", "_until")
+
+
+def assemble(messages: DataFrame, max_tx_bytes: int = 64 << 20, tables: DataFrame | None = None) -> Assembled:
     """Transactions of each slot, in order. A begin discards an open transaction, a commit without a begin counts for
-    nothing. A transaction of more than max_tx_bytes is dropped whole; 0 or less allows all.
+    nothing. A transaction of more than max_tx_bytes is dropped whole; 0 or less allows all. With tables (schema,
+    table) only their changes count. A null slot is a slot like any other.
 
-    events: slot, seq, xid, op, rel_id, rel, before, after (decoded), event_lsn (the message's own), commit_ts (of the
-    begin), commit_lsn, ordinal (from 1 in its transaction), bytes. transactions: slot, tx_no, xid, begin_ts, commit_ts,
-    commit_lsn, n_events, n_bytes, oversized. An empty transaction commits with no events.
+    events: slot, seq, tx_no, xid, op, rel_id, rel, before, after (decoded), event_lsn (the message's own), commit_ts (of
+    the begin), commit_lsn, ordinal (from 1 in its transaction), bytes. transactions: slot, tx_no, xid, begin_ts,
+    commit_ts, commit_lsn, n_events, n_bytes, oversized. An empty transaction commits with no events.
+
+    tx_no counts the begins and commits of a slot up to a message, so each part of the log that starts with one has a
+    number of its own. A begin's part is a transaction if the next part starts with a commit. Parts are aggregated
+    before they meet and stored at once, a row for each, so the log is read once for them and once for the events;
+    only kept changes are sorted by transaction.
     """
-    kept = relevant(messages)
-    rows = grouped(kept)
-    is_change = F.col("msg").isin(*CHANGE_MESSAGES)
-    inside = F.col("end").isNotNull() & (F.col("seq") < F.col("end.seq"))
-    open_end = F.col("end").isNull() & (F.col("tx_no") > 0)
-    outside = rows.where(is_change & ~inside & ~open_end).select("slot", "seq", "wal_start", "msg", "rel_id")
-
-    changes = with_relation(rows.where(is_change & inside), kept)
-    for side in ("before", "after"):
-        changes = changes.withColumn(side, decoded(F.col(side), F.col("rel.columns")))
-    changes = changes.withColumn("bytes", change_bytes(F.col("before"), F.col("after")))
-    sums = changes.groupBy("slot", "tx_no").agg(F.count("*").alias("n_events"), F.sum("bytes").alias("n_bytes"))
-    committed = rows.where((F.col("msg") == "C") & (F.col("seq") == F.col("end.seq")))
-    large = (F.col("n_bytes") > max_tx_bytes) if max_tx_bytes > 0 else F.lit(False)
-    transactions = committed.join(sums, ["slot", "tx_no"], "left").select(
-        "slot", "tx_no", F.col("begin.xid").alias("xid"), F.col("begin.commit_ts").alias("begin_ts"), F.col("end.commit_ts").alias("commit_ts"), F.col("end.lsn").alias("commit_lsn"),
-        F.coalesce("n_events", F.lit(0)).alias("n_events"), F.coalesce("n_bytes", F.lit(0)).alias("n_bytes"), F.coalesce(large, F.lit(False)).alias("oversized"),
+    kept = relevant(messages, tables)
+    is_change, is_begin, is_commit = F.col("msg").isin(*CHANGE_MESSAGES), F.col("msg") == "B", F.col("msg") == "C"
+    rows = running_sum(kept.where("msg <> 'R'"), F.when(is_change, 0).otherwise(1), "tx_no", ["slot"], "seq")
+    rows = with_relation(rows, kept)
+    rows = rows.withColumns({side: decoded(F.col(side), F.col("rel.columns")) for side in ("before", "after")})
+    rows = rows.withColumn("bytes", F.when(is_change, change_bytes(F.col("before"), F.col("after"))))
+    parts = rows.groupBy("slot", "tx_no").agg(
+        F.max(F.when(is_begin, F.col("xid"))).alias("xid"), F.max(F.when(~is_change, F.col("commit_ts"))).alias("ts"), F.max(F.when(~is_change, F.col("lsn"))).alias("lsn"),
+        F.count_if(is_begin).alias("begins"), F.count_if(is_commit).alias("commits"), F.count_if(is_change).alias("n_events"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("n_bytes"),
     )
-    place = Window.partitionBy("slot", "tx_no").orderBy("seq")
+    parts = stored(parts, "parts")  # a row for each begin and commit
+    commits = parts.where("commits > 0").select("slot", (F.col("tx_no") - F.col("commits")).alias("tx_no"), F.col("ts").alias("commit_ts"), F.col("lsn").alias("commit_lsn"))
+    begins = parts.where("begins > 0")
+    transactions = joined(begins.select("slot", "tx_no", "xid", F.col("ts").alias("begin_ts"), "n_events", "n_bytes"), commits, ["slot", "tx_no"])
+    large = (F.col("n_bytes") > max_tx_bytes) if max_tx_bytes > 0 else F.lit(False)
+    transactions = transactions.select("slot", "tx_no", "xid", "begin_ts", "commit_ts", "commit_lsn", "n_events", "n_bytes", large.alias("oversized"))
+
+    changes = rows.where(is_change)
+    outside = joined(changes, begins.select("slot", "tx_no"), ["slot", "tx_no"], "left_anti").select("slot", "seq", "wal_start", "msg", "rel_id")
     op = F.lit(None).cast("string")
     for msg, name in CHANGE_MESSAGES.items():
         op = F.when(F.col("msg") == msg, name).otherwise(op)
-    events = changes.join(transactions.where("not oversized").select("slot", "tx_no"), ["slot", "tx_no"], "left_semi").select(
-        "slot", "seq", "tx_no", F.col("begin.xid").alias("xid"), op.alias("op"), "rel_id", "rel", "before", "after", F.col("wal_start").alias("event_lsn"),
-        F.col("begin.commit_ts").alias("commit_ts"), F.col("end.lsn").alias("commit_lsn"), F.row_number().over(place).alias("ordinal"), "bytes",
+    place = Window.partitionBy("slot", "tx_no").orderBy("seq")
+    whole = transactions.where("not oversized").select("slot", "tx_no", F.col("xid").alias("_xid"), F.col("begin_ts").alias("_ts"), F.col("commit_lsn").alias("_lsn"))
+    events = joined(changes, whole, ["slot", "tx_no"]).select(
+        "slot", "seq", "tx_no", F.col("_xid").alias("xid"), op.alias("op"), "rel_id", "rel", "before", "after", F.col("wal_start").alias("event_lsn"),
+        F.col("_ts").alias("commit_ts"), F.col("_lsn").alias("commit_lsn"), F.row_number().over(place).alias("ordinal"), "bytes",
     )
     return Assembled(events, transactions, outside)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.functions.cells import image, json, key_values, sorted_map
+from changeloom.functions.cells import image, json, key_values, typed_values
 from changeloom.functions.lsn import commit_time, exact_time, lsn_text
 from changeloom.functions.names import heartbeat_topic, topic
 
@@ -24,19 +24,25 @@ class Output:
     single: str = ""
     unchanged: str = "omit"
     markers: bool = False
+    #: Whose values are JSON values of their types: of none, of snapshots, or of all; other values are text.
+    typed: str = "none"
 
 
 def envelopes(events: DataFrame, out: Output = Output()) -> DataFrame:
     """The fields of ENVELOPE for each event, and slot, tx_no, ordinal, commit_lsn and topic beside them. Without a
     relation, schema and table are "unknown" and there is no key. Events may have a column snapshot (boolean)."""
+    native = "value" in events.schema["after"].dataType.elementType.names
+    if out.typed == "all" and not native:
+        events, native = events.withColumns({side: typed_values(F.col(side)) for side in ("before", "after")}), True
+    typed = native and out.typed != "none"
     schema, table = F.coalesce("rel.schema", F.lit("unknown")), F.coalesce("rel.table", F.lit("unknown"))
     snapshot = F.col("snapshot") if "snapshot" in events.columns else F.lit(False)
     return events.select(
         "slot", "tx_no", "ordinal", "commit_lsn",
         F.lit(out.source).alias("source"), F.lit(out.database).alias("database"), schema.alias("schema"), table.alias("table"), "op",
         F.col("xid").alias("txid"), lsn_text(F.col("event_lsn")).alias("lsn"), commit_time(F.col("commit_ts")).alias("commit_ts"), snapshot.alias("snapshot"),
-        F.when(F.col("rel").isNotNull(), sorted_map(image(key_values(F.col("before"), F.col("after")), "sentinel"))).alias("key"),
-        sorted_map(image(F.col("before"), out.unchanged)).alias("before"), sorted_map(image(F.col("after"), out.unchanged)).alias("after"),
+        F.when(F.col("rel").isNotNull(), image(key_values(F.col("before"), F.col("after")), "sentinel", typed)).alias("key"),
+        image(F.col("before"), out.unchanged, typed).alias("before"), image(F.col("after"), out.unchanged, typed).alias("after"),
         topic(F.lit(out.database), schema, table, out.mode, out.prefix, out.single).alias("topic"),
     )
 
@@ -74,5 +80,7 @@ def heartbeats(spans: DataFrame, every: str, out: Output = Output()) -> DataFram
 
 
 def ordered(records: DataFrame) -> DataFrame:
-    """Records dealt to tasks by topic and in log order within each, ready to be written."""
-    return records.repartition("topic").sortWithinPartitions("topic", "slot", "commit_lsn", "tx_no", "ordinal")
+    """Records dealt to tasks by ranges of topic and log order, and in that order within each, ready to be written:
+    one topic may take many tasks."""
+    order = ("topic", "slot", "commit_lsn", "tx_no", "ordinal")
+    return records.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -24,9 +24,16 @@ def histogram(rows: DataFrame, value: Column, bounds: Sequence[int]) -> DataFram
 
 
 def gauges(transactions: DataFrame, now: Column) -> DataFrame:
-    """transactions_total, oversized_total, last_read_lsn and commit_lag_micros, which is 0 where it would be negative."""
+    """transactions_total, oversized_total, last_read_lsn of what isn't too large, and commit_lag_micros, which is 0
+    where it would be negative."""
+    kept = ~F.col("oversized")
     lag = F.greatest(F.lit(0), F.unix_micros(now) - F.max(F.unix_micros(F.col("commit_ts").cast("timestamp"))))
-    return transactions.agg(F.count_if(~F.col("oversized")).alias("transactions_total"), F.count_if("oversized").alias("oversized_total"), F.max("commit_lsn").alias("last_read_lsn"), lag.alias("commit_lag_micros"))
+    return transactions.agg(F.count_if(kept).alias("transactions_total"), F.count_if("oversized").alias("oversized_total"), F.max(F.when(kept, F.col("commit_lsn"))).alias("last_read_lsn"), lag.alias("commit_lag_micros"))
+
+
+def log_counters(messages: DataFrame) -> DataFrame:
+    """wal_messages_total, and relation_cache: relations of which a version is known."""
+    return messages.agg(F.count("*").alias("wal_messages_total"), F.count_distinct(F.when(F.col("msg") == "R", F.struct("slot", "rel_id"))).alias("relation_cache"))
 
 
 def lag_bytes(read: Column, done: Column) -> Column:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def latest(changes: DataFrame, key: Sequence[str], order: Sequence[str], deleted: Column) -> DataFrame:
     """The newest change of each key, without keys whose newest change is a deletion. Every column of order counts in
-    turn, so changes of one transaction don't tie."""
-    newest = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
-    kept = changes.withColumn("_deleted", deleted).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1 and not _deleted")
-    return kept.drop("_deleted", "_rank")
+    turn, so changes of one transaction don't tie. Aggregates before the shuffle, so a busy key is no group of its own."""
+    whole, place = F.struct(*[F.col(f"`{c}`") for c in changes.columns]), F.struct(*order)
+    newest = changes.withColumn("_deleted", deleted).groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max_by(whole, place).alias("_row"), F.max_by("_deleted", place).alias("_gone"))
+    return newest.where("not _gone").select("_row.*")
 
 
 def from_records(records: DataFrame, fields: dict[str, str], key: Sequence[str]) -> DataFrame:

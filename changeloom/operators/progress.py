@@ -12,14 +12,14 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.operators.scale import running_sum
+from changeloom.operators.scale import joined, running_sum
 
 
 def contiguous(acks: DataFrame, by: Sequence[str] = ("slot",), order: str = "ord", acked: str = "acked", lsn: str = "lsn") -> DataFrame:
     """For each of by, the position up to which all batches are acknowledged: by, lsn, n (batches up to there). A
     batch that isn't acknowledged, or never will be, stops it; nothing acknowledged from the start gives no row."""
     open_at = acks.where(~F.coalesce(F.col(acked), F.lit(False))).groupBy(*by).agg(F.min(order).alias("_stop"))
-    rows = acks.join(open_at, list(by), "left").where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop")))
+    rows = joined(acks, open_at, by, "left").where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop")))
     return rows.groupBy(*by).agg(F.max(lsn).alias("lsn"), F.count("*").alias("n"))
 
 
@@ -31,7 +31,7 @@ def confirmed(confirms: DataFrame, by: Sequence[str], order: str, lsn: str = "ls
     tops = tops.select(*keys, F.max("_top").over(Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
     inner = Window.partitionBy(*keys).orderBy(order)
     before = F.greatest(F.max(lsn).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.col("_before"))
-    rows = rows.join(tops, keys).withColumn("_prior", before)
+    rows = joined(rows, tops, keys).withColumn("_prior", before)
     return rows.withColumn("pending", F.greatest("_prior", lsn)).withColumn("moved", F.col("_prior").isNull() | (F.col(lsn) > F.col("_prior"))).drop("_stretch", "_before", "_prior")
 
 

@@ -2,17 +2,53 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where Spark is local."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not hasattr(shared_root, "own"):
+        shared_root.own = "file://" + tempfile.mkdtemp(prefix="changeloom-")
+    return shared_root.own
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver's JVM ends."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, computed once into the shared folder and read from there: cuts lineage and outlives lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join on keys in which null equals null; the keys of left stay. right may come from the same table."""
+    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def running_sum(df: DataFrame, value: Column, name: str, by: Sequence[str], order: str, width: int = 100_000) -> DataFrame:
     """df with the column name: the sum of value up to each row, by the integer column order, within by.
 
     Rows are summed in stretches of width of the order; only a row for each stretch meets in the window that adds up
-    what lies before it. Rows that tie in the order get the sum with all of them.
+    what lies before it. Rows that tie in the order get the sum with all of them. A null in by is a value like any other.
     """
     marked = df.withColumn("_value", value).withColumn("_stretch", F.floor(F.col(order) / width))
     keys = [*by, "_stretch"]
@@ -20,4 +56,5 @@ def running_sum(df: DataFrame, value: Column, name: str, by: Sequence[str], orde
     before = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     within = F.sum("_value").over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("_within", within).join(bases, keys).withColumn(name, F.col("_within") + F.col("_base")).drop("_value", "_stretch", "_within", "_base")
+    rows = marked.withColumn("_within", within)
+    return joined(rows, bases, keys).withColumn(name, F.col("_within") + F.col("_base")).drop("_value", "_stretch", "_within", "_base")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import AtomicType, BinaryType, DataType, StructField
 
 from changeloom.functions.names import schema_of, table_of
+from changeloom.functions.pgtypes import normalised
 from changeloom.model import COLUMN
 
 #: Type numbers of the database for Spark's types; text for others.
@@ -37,22 +38,29 @@ def primary_keys(indexes: DataFrame, attributes: DataFrame) -> DataFrame:
     return named.groupBy("schema", "table").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda x: x["name"]).alias("pk"))
 
 
-def snapshot(table: DataFrame, name: str, pk: Sequence[str] = (), as_of: datetime | None = None, typed: bool = False) -> DataFrame:
+def snapshot(table: DataFrame, name: str, pk: Sequence[str] = (), as_of: datetime | None = None, typed: bool = False, oids: Mapping[str, int] | None = None) -> DataFrame:
     """A table's rows as events of envelopes(), op r, position 0, transaction 0, snapshot true, ordered by pk if there
-    is one. as_of is the commit time of all rows, now without it. Values are text; typed adds the column row, a
-    variant with native values."""
+    is one. as_of is the commit time of all rows, now without it. Values are text; typed adds to each the field value, a
+    variant as pgtypes.normalised() has it. oids gives type numbers of columns whose Spark type doesn't tell them."""
     schema, _, short = name.rpartition(".") if "." in name else ("public", "", name)
-    columns = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(type_oid(f.dataType)).cast("bigint").alias("type_oid"), F.lit(f.name in pk).alias("is_key")) for f in table.schema]).cast(f"array<{COLUMN}>")
-    value = lambda f: F.struct(F.lit(f.name).alias("name"), F.lit(type_oid(f.dataType)).cast("bigint").alias("type_oid"), F.when(F.col(f"`{f.name}`").isNull(), "n").otherwise("t").alias("kind"), F.col(f"`{f.name}`").cast("string").alias("text"), F.lit(f.name in pk).alias("is_key"))
+    oid = lambda f: (oids or {}).get(f.name, type_oid(f.dataType))
+    columns = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(oid(f)).cast("bigint").alias("type_oid"), F.lit(f.name in pk).alias("is_key")) for f in table.schema]).cast(f"array<{COLUMN}>")
+
+    def value(f: StructField) -> Column:
+        own = F.col(f"`{f.name}`")
+        native = normalised(own, f.dataType, oid(f))
+        text = own if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, BinaryType) else native
+        more = [native.cast("variant").alias("value")] if typed else []
+        return F.struct(F.lit(f.name).alias("name"), F.lit(oid(f)).cast("bigint").alias("type_oid"), F.when(own.isNull(), "n").otherwise("t").alias("kind"), text.cast("string").alias("text"), F.lit(f.name in pk).alias("is_key"), *more)
+
     after = F.array(*[value(f) for f in table.schema])
     rows = table.orderBy(*pk) if pk else table
-    extra = [F.to_variant_object(F.struct(*[f"`{c}`" for c in table.columns])).alias("row")] if typed else []
     return rows.select(
         F.lit("snapshot").alias("slot"), F.lit(0).cast("bigint").alias("tx_no"), F.lit(0).cast("bigint").alias("xid"), F.lit("r").alias("op"), F.lit(None).cast("bigint").alias("rel_id"),
         F.struct(F.lit(schema or "public").alias("schema"), F.lit(short).alias("table"), columns.alias("columns")).alias("rel"),
-        F.lit(None).cast("array<struct<name:string,type_oid:bigint,kind:string,text:string,is_key:boolean>>").alias("before"), after.alias("after"),
+        F.when(F.lit(False), after).alias("before"), after.alias("after"),
         F.lit(0).cast("bigint").alias("event_lsn"), (F.lit(as_of) if as_of else F.current_timestamp()).cast("timestamp").alias("commit_ts"), F.lit(0).cast("bigint").alias("commit_lsn"),
-        F.lit(0).alias("ordinal"), F.lit(True).alias("snapshot"), *extra,
+        F.lit(0).alias("ordinal"), F.lit(True).alias("snapshot"),
     )
 
 
