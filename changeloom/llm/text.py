@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeloom.functions.cells import let
+from changeloom.operators.scale import shared_path, stored
+
+__all__ = ["ascii_lower", "hash128", "let", "shared_path", "ship", "small_side", "stored"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators of words: space and the control characters tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]"
@@ -22,42 +26,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(text.rlike(CASED_BEYOND_ASCII), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once for each row, however often body refers to it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes of a column, for keys where one would collide at 10^12 values."""
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where Spark is local."""
-    if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not hasattr(shared_root, "own"):
-        shared_root.own = "file://" + tempfile.mkdtemp(prefix="changeloom-")
-    return shared_root.own
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's JVM ends."""
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once into the shared folder and read from there: cuts lineage and outlives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """df with a broadcast hint if it has at most max_rows rows, else as it is. df should be cheap to count."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
