@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.text import ascii_lower, let
+from changeloom.llm.text import ascii_lower, let, small_side, stored
+from changeloom.operators.scale import joined
 
 #: Words are runs of ASCII letters and digits and of all characters beyond ASCII.
 GRAM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,39 +45,54 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return by_width.groupBy("hash", "width", F.array_join("words", " ").alias("gram")).agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def contamination(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), max_broadcast_windows: int = 200_000) -> DataFrame:
+def near_windows(docs: DataFrame, windows: DataFrame, widths: list[int], max_broadcast: int) -> DataFrame:
+    """Places of the n-grams of docs (id, version, text) whose hash is a window's: id, version, cands (at, width). All
+    that is exploded, and shuffled where there are more than max_broadcast windows, are numbers: never a text."""
+    keys = windows.select("hash", "width").distinct()
+    places = lambda grams, width: F.transform(grams, lambda h, i: F.struct(h.alias("hash"), i.alias("at"), F.lit(width).alias("width")))
+    every = lambda w: F.concat(*[places(window_hashes(F.transform(w, lambda x: F.xxhash64(x)), width), width) for width in widths])
+    grams = docs.select("id", "version", F.explode(let(gram_words(F.col("text")), every)).alias("g")).select("id", "version", "g.*")
+    met = grams.join(small_side(stored(keys, "window-hashes"), max_broadcast), ["hash", "width"])
+    return met.groupBy("id", "version").agg(F.collect_set(F.struct("at", "width")).alias("cands"))
+
+
+def contamination(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), max_broadcast_windows: int = 200_000, max_broadcast_hashes: int = 5_000_000) -> DataFrame:
     """Word counts and verified hits for each document: id_col, text_version (a hash of the text), the columns keep,
     n_words, n_hit, items (sorted ids as strings), spans (first word from 0, and width, of each window found).
 
     All n-grams of a text are hashed in one pass and held against the hash set of the windows; those in it become
-    words again and are joined with the windows by those words. The set goes to the tasks inside the plan while it
-    has at most max_broadcast_windows hashes; beyond that, every n-gram takes part in the join, which then shuffles.
+    words again and are joined with the windows by those words. Up to max_broadcast_windows hashes stand in the plan; up to
+    max_broadcast_hashes (of 16 bytes) are broadcast; beyond that hashes are shuffled. In the last two cases texts are read
+    twice, first for the places and then for the words at these.
 
     A null or empty text has no words and no hits. Rows equal in id, text and keep give one row. No windows: no hits.
     """
-    some = windows.select("hash", "width").limit(max_broadcast_windows + 1).collect()
-    small = len(some) <= max_broadcast_windows
+    some = windows.select("hash", "width").distinct().limit(max_broadcast_windows + 1).collect()
+    listed = len(some) <= max_broadcast_windows
     widths = {w: [r["hash"] for r in some if r["width"] == w] for w in sorted({r["width"] for r in some})}
-    if not small:
-        widths = {r["width"]: [] for r in windows.select("width").distinct().collect()}
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
+    whole = ["id", "version", *[f"keep_{c}" for c in keep]]
+    gram = lambda w, x: F.struct(x["at"].alias("at"), x["width"].alias("width"), F.array_join(F.slice(w, x["at"] + 1, x["width"]), " ").alias("gram"))
 
-    def found(w: Column) -> Column:
-        """Places and words of the n-grams that may be windows."""
-        out = [F.array().cast("array<struct<at:int,width:int,gram:string>>")]
+    def listed_places(w: Column) -> Column:
+        out = [F.array().cast("array<struct<at:int,width:int>>")]
         for width, hashes in widths.items():
             grams = window_hashes(F.transform(w, lambda x: F.xxhash64(x)), width)
-            at = F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
-            if small:
-                at = F.filter(at, lambda x: x["h"].isin(hashes))
-            out.append(F.transform(at, lambda x: F.struct(x["at"].alias("at"), F.lit(width).alias("width"), F.array_join(F.slice(w, x["at"] + 1, F.lit(width)), " ").alias("gram"))))
-        return F.struct(F.size(w).cast("long").alias("n_words"), F.concat(*out).alias("hits"))
-
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), *[F.col(c).alias(f"keep_{c}") for c in keep], let(gram_words(F.col(text_col)), found).alias("got"))
-    whole = ["id", "version", *[f"keep_{c}" for c in keep]]
+            at = F.filter(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("at"))), lambda x: x["h"].isin(hashes))
+            out.append(F.transform(at, lambda x: F.struct(x["at"].alias("at"), F.lit(width).alias("width"))))
+        return F.concat(*out)
+
+    if listed:
+        found = lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.transform(listed_places(w), lambda x: gram(w, x)).alias("hits"))
+    else:
+        near = stored(near_windows(rows, windows, sorted(r["width"] for r in windows.select("width").distinct().collect()), max_broadcast_hashes), "near-windows")
+        rows = joined(rows, small_side(near, max_broadcast_hashes // 50), ["id", "version"], "left")
+        found = lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.transform("cands", lambda x: gram(w, x)).alias("hits"))
+    rows = rows.select(*whole, let(gram_words(F.col("text")), found).alias("got"))
     rows = rows.select(*whole, F.col("got.n_words").alias("n_words"), F.explode_outer("got.hits").alias("hit"))
     rows = rows.select(*whole, "n_words", F.col("hit.at").alias("at"), F.col("hit.width").alias("width"), F.col("hit.gram").alias("gram"))
     side = windows.select("width", "gram", "items")
-    hits = rows.join(F.broadcast(side) if small else side, ["width", "gram"], "left")
+    hits = rows.join(F.broadcast(side) if listed else side, ["width", "gram"], "left")
     hits = hits.groupBy(*whole).agg(
         F.first("n_words").alias("n_words"),
         F.collect_set(F.when(F.col("items").isNotNull(), F.struct("at", "width"))).alias("spans"),
