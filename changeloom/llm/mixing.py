@@ -63,7 +63,7 @@ def drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights:
     rows = rows.join(small_side(plan, max_broadcast_sources), source.eqNullSafe(F.col("plan_source")), "left")
     rows = rows.withColumns({"draw": seeded(id_, seed), "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)})
     rows = rows.withColumn("group", F.col("draw") % F.ceil(F.col("n") / group_rows))
-    at = F.row_number().over(Window.partitionBy("plan_source", "group").orderBy("size", "draw", id_))
+    at = F.row_number().over(Window.partitionBy("plan_source", "group").orderBy("size", "draw", id_, F.xxhash64(F.col("row")[text_col])))
     part = F.col("rate") - F.floor("rate")
     start = (seeded(F.concat(F.coalesce("plan_source", F.lit("")), F.lit("/"), F.col("group").cast("string")), seed) % 1_000_000) / F.lit(1e6)
     rows = rows.withColumns({"at": at, "part": part, "start": start})
@@ -80,7 +80,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     document. A large source is dealt out over seeded groups of about group_rows documents; none meets in one task.
 
     Null and empty texts have size 0 and follow the same rule; a source of size 0 takes no copies. A null source is
-    a source of its own. Rows that repeat an id are documents of their own. Columns of docs that clash with the new
+    a source of its own. Rows that repeat an id are documents of their own, in order of their texts' hashes, so reruns
+    repeat the same texts; only rows equal in id and text may stand for each other. An empty table gives no rows. Columns of docs that clash with the new
     ones are replaced; all others stay, whatever their names. repeated() keeps all.
     """
     rows = drawn(docs, id_col, text_col, source_col, weights, total, max_epochs, seed, group_rows, max_broadcast_sources)
