@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm import encoding
 from changeloom.llm.text import shared_path, ship, stored
+from changeloom.operators.scale import running_sum
 
 MAGIC = b"CLTOKEN1"
 BLOCK = 1024
@@ -113,6 +114,10 @@ def decode_file(data: bytes, blocks: slice | None = None) -> tuple[np.ndarray, n
     return np.concatenate(out), np.frombuffer(data, DOCUMENT, n_docs, docs_at)
 
 
+#: Places for the files of one task in the order of all files.
+FILES_OF_A_PART = 1 << 24
+
+
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, path: str | None = None, file_ids: int = 2_000_000) -> DataFrame:
     """Encode all texts and write their ids to files of about file_ids ids in folder, in ascending order of ids (null
     first, then by text); returns the manifest: file, part, seq, n_documents, n_tokens, in order of (part, seq).
@@ -120,7 +125,9 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     A file is written under a name of its own attempt and counts only if the manifest, a table that Spark commits,
     names it: what a lost or repeated task leaves behind is never read. folder is any URI that pyarrow opens.
 
-    A null or empty text is its end id alone. Rows that repeat an id are documents of their own, in a row.
+    A null or empty text is its end id alone. Rows that repeat an id are documents of their own, in a row. The format
+    has 64-bit ids: others are cast, and text that is no whole number stops the job with Spark's error. Other columns
+    are ignored; an empty table gives no files.
     """
     ship(docs.sparkSession)
 
@@ -164,8 +171,9 @@ def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Dat
     """Every document of the files that the manifest names: id_col, start (ids of all documents before it), n_tokens
     and ids_crc32, of the ids as little-endian uint32."""
     ship(manifest.sparkSession)
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
-    files = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select("file", "base")
+    numbered = manifest.withColumn("place", F.col("part") * FILES_OF_A_PART + F.col("seq"))
+    files = running_sum(numbered, F.col("n_tokens"), "end", [], "place", 1000 * FILES_OF_A_PART)
+    files = files.select("file", (F.col("end") - F.col("n_tokens")).alias("base"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
