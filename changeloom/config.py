@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, is_dataclass
 from typing import Any
@@ -90,14 +92,22 @@ class Tuning:
 
 
 @dataclass
-class Observability:
+class Logging:
     level: str = "info"
-    metrics_enabled: bool = True
-    metrics_addr: str = ":9090"
-    metrics_path: str = "/metrics"
+
+
+@dataclass
+class Metrics:
+    enabled: bool = True
+    listen_addr: str = ":9090"
+    path: str = "/metrics"
     namespace: str = "cdc"
     subsystem: str = ""
-    health_addr: str = ":8080"
+
+
+@dataclass
+class Health:
+    listen_addr: str = ":8080"
 
 
 @dataclass
@@ -109,11 +119,13 @@ class Settings:
     topic: Topic = field(default_factory=Topic)
     checkpoint: Checkpoint = field(default_factory=Checkpoint)
     runtime: Runtime = field(default_factory=Runtime)
+    logging: Logging = field(default_factory=Logging)
+    metrics: Metrics = field(default_factory=Metrics)
+    health: Health = field(default_factory=Health)
     tuning: Tuning = field(default_factory=Tuning)
-    observability: Observability = field(default_factory=Observability)
 
     def output(self) -> Output:
-        return Output(database=self.postgres.dbname or "postgres", mode=self.topic.mode, prefix=self.topic.prefix, single=self.topic.single_topic_name, unchanged=self.topic.toast_strategy or "omit", markers=self.replication.transaction_markers)
+        return Output(database=self.postgres.dbname or "postgres", mode=self.topic.mode, prefix=self.topic.prefix, single=self.topic.single_topic_name, unchanged=self.topic.toast_strategy or "omit", markers=self.replication.transaction_markers, typed="snapshot")
 
     def problems(self) -> list[str]:
         found = []
@@ -122,7 +134,7 @@ class Settings:
             if not ok:
                 found.append(what)
 
-        p, r, s, b, t, c, u, n, o = self.postgres, self.replication, self.snapshot, self.redpanda, self.topic, self.checkpoint, self.runtime, self.tuning, self.observability
+        p, r, s, b, t, c, u, n = self.postgres, self.replication, self.snapshot, self.redpanda, self.topic, self.checkpoint, self.runtime, self.tuning
         need(bool(p.dsn or p.user), "postgres needs a dsn or a user")
         need(bool(r.slot_name), "replication.slot_name is empty")
         need(bool(r.publication_name), "replication.publication_name is empty")
@@ -145,8 +157,8 @@ class Settings:
             need(getattr(u, name) > 0, f"runtime.{name} must be positive")
         need(512 <= n.producer_batch_max_bytes <= 1 << 30, "tuning.producer_batch_max_bytes lies between 512 and 1 GiB")
         need(n.producer_batch_max_records > 0, "tuning.producer_batch_max_records must be positive")
-        need(bool(o.metrics_addr) or not o.metrics_enabled, "observability.metrics_addr is empty")
-        need(bool(o.health_addr), "observability.health_addr is empty")
+        need(bool(self.metrics.listen_addr) or not self.metrics.enabled, "metrics.listen_addr is empty")
+        need(bool(self.health.listen_addr), "health.listen_addr is empty")
         return found
 
 
@@ -176,3 +188,29 @@ def load(values: Mapping[str, Mapping[str, Any]] | None = None, environ: Mapping
     if problems := out.problems():
         raise ValueError("; ".join(problems))
     return out
+
+
+def load_file(path: str, environ: Mapping[str, str] | None = None, prefix: str = "CDC_") -> Settings:
+    """load() of a YAML or JSON file of sections. Times may be numbers of seconds or texts like 500ms, 10s and 5m; the
+    broker's topic_auto_create may be a section of its own."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    try:
+        import yaml
+
+        values = yaml.safe_load(text) or {}
+    except ImportError:
+        values = json.loads(text)
+    units = {"ms": 1e-3, "s": 1.0, "m": 60.0, "h": 3600.0}
+
+    def seconds(value: Any) -> Any:
+        found = re.fullmatch(r"([0-9.]+)(ms|s|m|h)", value) if isinstance(value, str) else None
+        return float(found[1]) * units[found[2]] if found else value
+
+    sections = {}
+    for name, section in values.items():
+        flat = {k: seconds(v) for k, v in (section or {}).items() if k != "topic_auto_create"} | dict((section or {}).get("topic_auto_create") or {})
+        if "linger" in flat:
+            flat["linger_ms"] = int(flat.pop("linger") * 1000)
+        sections[name] = flat
+    return load(sections, environ, prefix)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,16 @@ def readiness(query: Any, read_lsn: int = 0, checkpoint_lsn: int = 0) -> dict[st
     return {"ready": ready, "status": 200 if ready else 503, "last_read_lsn": read_lsn, "last_checkpoint_lsn": checkpoint_lsn, "lag_bytes": max(0, read_lsn - checkpoint_lsn), "progress": query.lastProgress if query is not None else None}
 
 
+def queue_depth(progress: Mapping[str, Any]) -> int:
+    """Of a query's progress: files that its capture sources have and haven't given out yet."""
+    depth = 0
+    for source in progress.get("sources") or []:
+        ends = [json.loads(x) if isinstance(x, str) else x for x in (source.get("latestOffset"), source.get("endOffset"))]
+        if all(isinstance(x, dict) and "number" in x for x in ends):
+            depth += max(0, ends[0]["number"] - ends[1]["number"])
+    return depth
+
+
 def listener() -> Any:
     """A StreamingQueryListener that counts starts, batches, rows and the time that batches take."""
     from pyspark.sql.streaming.listener import StreamingQueryListener

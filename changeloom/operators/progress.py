@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Protocol
@@ -81,18 +82,18 @@ class FileProgress:
 
 
 class Manager:
-    """Confirmed positions only rise, and only a rise is flushed."""
+    """Confirmed positions only rise, and only a rise is flushed, at most each `every` seconds unless forced."""
 
-    def __init__(self, store: ProgressStore):
-        self.store = store
+    def __init__(self, store: ProgressStore, every: float = 0.0):
+        self.store, self.every, self.last = store, every, float("-inf")
         self.flushed = self.pending = store.load()[0]
 
     def confirm(self, lsn: int) -> None:
         self.pending = max(self.pending, lsn)
 
-    def flush(self) -> bool:
-        if self.pending <= self.flushed:
+    def flush(self, force: bool = False) -> bool:
+        if self.pending <= self.flushed or not force and time.monotonic() - self.last < self.every:
             return False
         self.store.save(self.pending)
-        self.flushed = self.pending
+        self.flushed, self.last = self.pending, time.monotonic()
         return True

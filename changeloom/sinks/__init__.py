@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.operators.publish import record_bytes, split_oversized
+from changeloom.operators.scale import shared_path
 
 COMPRESSIONS = ("none", "snappy", "lz4", "zstd", "gzip")
 ACKS = {"all": "all", "leader": "1", "none": "0"}
 
 
 class Sink(Protocol):
-    def write(self, records: DataFrame, batch_id: int | None = None) -> None: ...
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None: ...
+
+
+def batch_name(batch_id: int | None, part: str) -> str:
+    """What a batch is called: its number, after the name of its part where that isn't the log."""
+    return "-".join(x for x in (part, "snapshot" if batch_id is None and not part else "" if batch_id is None else f"{batch_id:012d}") if x)
 
 
 class FileSink:
@@ -24,8 +32,8 @@ class FileSink:
     def __init__(self, path: str, file_format: str = "parquet", max_message_bytes: int = 0, records_per_file: int = 0):
         self.path, self.format, self.most, self.per_file = path, file_format, max_message_bytes, records_per_file
 
-    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
-        name = "snapshot" if batch_id is None else f"{batch_id:012d}"
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
+        name = batch_name(batch_id, part)
         if self.most > 0:
             records, large = split_oversized(records, record_bytes(F.col("key"), F.col("value")), self.most)
             large.write.mode("overwrite").format(self.format).save(f"{self.path}/quarantine/batch={name}")
@@ -39,17 +47,39 @@ class FileSink:
 
 
 class MemorySink:
-    """The latest batches as a temporary view, for tests and looking around."""
+    """All batches as a temporary view, for tests and looking around; their rows lie in the shared folder."""
 
     def __init__(self, name: str):
-        self.name, self.batches = name, {}
-
-    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
-        self.batches[batch_id] = records.select("topic", "key", "value").toArrow()
-        first, *more = [records.sparkSession.createDataFrame(t, "topic string, key string, value string") for t in self.batches.values()]
-        for part in more:
-            first = first.unionAll(part)
-        first.createOrReplaceTempView(self.name)
+        self.name, self.path = name, None
+
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
+        spark = records.sparkSession
+        self.path = self.path or shared_path(spark, self.name)
+        records.select("topic", "key", "value").write.mode("overwrite").parquet(f"{self.path}/batch={batch_name(batch_id, part)}")
+        spark.read.schema("topic string, key string, value string").option("recursiveFileLookup", "true").parquet(self.path).createOrReplaceTempView(self.name)
+
+
+class RetryingSink:
+    """Tries a write again after a wait that doubles from first to most seconds; attempts of None never gives up. What
+    `permanent` calls so is not tried again. Counts retries and failures."""
+
+    def __init__(self, sink: Sink, attempts: int | None = None, first: float = 0.2, most: float = 10.0, permanent: Callable[[Exception], bool] = lambda e: False):
+        self.sink, self.attempts, self.first, self.most, self.permanent = sink, attempts, first, most, permanent
+        self.retries = self.failures = 0
+
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
+        wait, tried = self.first, 0
+        while True:
+            try:
+                return self.sink.write(records, batch_id, part)
+            except Exception as e:
+                tried += 1
+                if self.permanent(e) or self.attempts is not None and tried >= self.attempts:
+                    self.failures += 1
+                    raise
+                self.retries += 1
+                time.sleep(wait)
+                wait = min(self.most, 2 * wait)
 
 
 class KafkaSink:
@@ -63,7 +93,7 @@ class KafkaSink:
             "kafka.enable.idempotence": str(idempotent).lower(), "kafka.max.in.flight.requests.per.connection": str(1 if idempotent else in_flight), "kafka.batch.size": str(batch_bytes),
         }
 
-    def write(self, records: DataFrame, batch_id: int | None = None) -> None:
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
         records.selectExpr("topic", "cast(key as binary) key", "cast(value as binary) value").write.format("kafka").options(**self.options).save()
 
 

@@ -7,12 +7,11 @@ follows. Files of a folder are read in the order of their names, each by a task
 
 from __future__ import annotations
 
-import glob
 import os
 import struct
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
-from typing import Any
+from typing import Any, BinaryIO
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThanOrEqual, InputPartition
@@ -82,17 +81,16 @@ def decode(message: bytes) -> dict[str, Any] | None:
     return {"msg": kind} if kind in "TYO" else None
 
 
-def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(position, message) of the log data in a capture file; a last frame that is cut off is not there yet."""
-    place = 0
-    while place + 4 <= len(data):
-        (n,) = struct.unpack_from(">I", data, place)
-        payload = data[place + 4 : place + 4 + n]
+def frames(file: BinaryIO) -> Iterator[tuple[int, bytes]]:
+    """(position, message) of the log data in a capture file, one frame at a time; a last frame that is cut off is not
+    there yet."""
+    while len(head := file.read(4)) == 4:
+        (n,) = struct.unpack(">I", head)
+        payload = file.read(n)
         if len(payload) < n:
             return
         if payload[:1] == b"w":
             yield struct.unpack_from(">Q", payload, 1)[0], payload[25:]
-        place += 4 + n
 
 
 class Files(InputPartition):
@@ -108,18 +106,26 @@ class Capture:
         self.folder, self.slot = options["path"], options.get("slot", "slot")
         self.start = int(options.get("startingLsn", "0"))
 
+    def place(self) -> tuple[Any, str]:
+        """The folder's file system and path; the folder is a path or any URI that pyarrow opens."""
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.folder if ":/" in self.folder else os.path.abspath(self.folder))
+
     def files(self) -> list[str]:
-        return sorted(glob.glob(os.path.join(self.folder, "*.wal")))
+        from pyarrow import fs
+
+        system, root = self.place()
+        return sorted(f.path for f in system.get_file_info(fs.FileSelector(root)) if f.is_file and f.path.endswith(".wal"))
 
     def read(self, partition: Files) -> Iterator[tuple]:
-        with open(partition.path, "rb") as f:
-            data = f.read()
-        for k, (position, message) in enumerate(frames(data)):
-            got = decode(message)
-            # Relations before the start still describe what follows.
-            if got and (position >= self.start or got["msg"] == "R"):
-                got["wal_start"] = position
-                yield (self.slot, (partition.number << 32) + k, *(got.get(f) for f in FIELDS))
+        with self.place()[0].open_input_stream(partition.path) as f:
+            for k, (position, message) in enumerate(frames(f)):
+                got = decode(message)
+                # Relations before the start still describe what follows.
+                if got and (position >= self.start or got["msg"] == "R"):
+                    got["wal_start"] = position
+                    yield (self.slot, (partition.number << 32) + k, *(got.get(f) for f in FIELDS))
 
 
 class CaptureReader(Capture, DataSourceReader):
@@ -135,16 +141,22 @@ class CaptureReader(Capture, DataSourceReader):
 
 
 class CaptureStream(Capture, DataSourceStreamReader):
-    """An offset is the number of files that are read; files must appear whole."""
+    """An offset is the name of the last file that is read, and how many there were up to it. Files must appear whole
+    and in the order of their names: one that comes late, under a name before the last, stops the stream, as the
+    changes after it have been given out."""
 
     def initialOffset(self):  # noqa: N802
-        return {"files": 0}
+        return {"file": "", "number": 0}
 
     def latestOffset(self):  # noqa: N802
-        return {"files": len(self.files())}
+        found = self.files()
+        return {"file": os.path.basename(found[-1]) if found else "", "number": len(found)}
 
     def partitions(self, start, end):
-        return [Files(k, p) for k, p in enumerate(self.files()) if start["files"] <= k < end["files"]]
+        names = [(os.path.basename(p), p) for p in self.files()]
+        if (there := sum(n <= start["file"] for n, _ in names)) != start["number"]:
+            raise ValueError(f"{there} files up to {start['file']} where {start['number']} have been read: files came late or are gone")
+        return [Files(k, p) for k, (n, p) in enumerate(names) if start["file"] < n <= end["file"]]
 
     def commit(self, end):
         self.committed = end

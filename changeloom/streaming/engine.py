@@ -1,15 +1,22 @@
-"""A running pipeline: messages to records in a sink, with durable progress."""
+"""A running pipeline: snapshot, messages and heartbeats to records in a sink, with durable progress."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeloom.operators.envelope import Output, change_records, envelopes, markers, ordered
-from changeloom.operators.progress import Manager
-from changeloom.sinks import Sink
-from changeloom.streaming.transactions import stream_events
+from changeloom.config import Settings
+from changeloom.operators.envelope import Output, change_records, envelopes, heartbeats, markers, ordered
+from changeloom.operators.progress import FileProgress, Manager
+from changeloom.sinks import KafkaSink, RetryingSink, Sink
+from changeloom.sources import snapshot
+from changeloom.streaming.transactions import stream_changes
 
 
 def records_of(events: DataFrame, out: Output) -> DataFrame:
@@ -22,22 +29,100 @@ def records_of(events: DataFrame, out: Output) -> DataFrame:
     return ordered(records)
 
 
-def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second") -> StreamingQuery:
+class OutsideChanges(RuntimeError):
+    """The stream has changes that stand in no transaction."""
+
+
+def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail") -> StreamingQuery:
     """Start the pipeline. A batch is written under its number, so a sink that replaces by number has it once however
     often it is tried; progress is confirmed only after the write, and batches run one after another, so a position
-    is never ahead of what is durable."""
+    is never ahead of what is durable.
 
-    def publish(events: DataFrame, batch_id: int) -> None:
-        events = events.persist()
+    Changes outside of transactions stop the query before anything of their batch is written or confirmed, or go to
+    the part "outside" of the sink, as records of their position, where outside is "quarantine".
+    """
+
+    def publish(changes: DataFrame, batch_id: int) -> None:
+        changes = changes.persist()
         try:
+            stray, events = changes.where("outside"), changes.where("not outside").drop("outside")
+            if n := stray.count():
+                if outside != "quarantine":
+                    first = stray.orderBy("slot", "seq").first()
+                    raise OutsideChanges(f"{n} changes outside of transactions, the first at {first['event_lsn']} of slot {first['slot']}")
+                value = F.to_json(F.struct("slot", "seq", "op", "rel_id", F.col("event_lsn").alias("position"), "before", "after"))
+                sink.write(stray.select(F.lit("outside").alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")), batch_id, "outside")
             sink.write(records_of(events, out), batch_id)
             if progress is not None:
                 top = events.agg(F.max("commit_lsn")).first()[0]
                 if top is not None:
                     progress.confirm(top)
-                    progress.flush()
+                progress.flush(force=once)
         finally:
-            events.unpersist()
+            changes.unpersist()
 
-    writer = stream_events(messages, max_tx_bytes).writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    writer = stream_changes(messages, max_tx_bytes).writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
+def beat(spark: SparkSession, sink: Sink, checkpoint: str, every: float, out: Output, progress: Manager) -> StreamingQuery:
+    """A heartbeat record each `every` seconds, with the last flushed position, whether or not anything else comes."""
+
+    def publish(ticks: DataFrame, batch_id: int) -> None:
+        at = F.lit(datetime.now(timezone.utc))
+        spans = ticks.sparkSession.range(1).select(at.alias("start"), at.alias("end"), F.lit(progress.flushed).cast("bigint").alias("lsn"))
+        sink.write(heartbeats(spans, "1 day", out).select("topic", "key", "value"), batch_id, "heartbeat")
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(processingTime=f"{every} seconds").start()
+
+
+def take_snapshot(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], sink: Sink, out: Output, as_of: datetime | None = None) -> None:
+    """The rows of tables (name -> rows, key columns) as records, before anything of the log."""
+    typed = out.typed != "none"
+    for name, (rows, pk) in tables.items():
+        events = snapshot.snapshot(rows, name, pk, as_of, typed)
+        sink.write(change_records(envelopes(events, out)), None, "" if len(tables) == 1 else f"snapshot-{name}")
+
+
+def start(spark: SparkSession, settings: Settings, messages: DataFrame, checkpoint: str, tables: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None, sink: Sink | None = None, once: bool = False, outside: str = "fail") -> list[StreamingQuery]:
+    """A pipeline as the settings have it: sink, routing, progress, the initial snapshot where there is no progress yet,
+    heartbeats. Without a sink records go to the brokers. tables holds the rows of the tables to snapshot."""
+    b, out = settings.redpanda, settings.output()
+    if sink is None:
+        sink = RetryingSink(KafkaSink(b.brokers, b.compression, b.required_acks, b.linger_ms, b.enable_idempotence, b.max_inflight, settings.tuning.producer_batch_max_bytes))
+    progress = Manager(FileProgress(settings.checkpoint.file_path), settings.checkpoint.flush_interval)
+    if settings.snapshot.mode == "initial" and progress.flushed == 0:
+        wanted = {n: t for n, t in (tables or {}).items() if not settings.snapshot.tables or n in settings.snapshot.tables}
+        take_snapshot(wanted, sink, out)
+    queries = [run(messages, sink, f"{checkpoint}/log", out, progress, settings.runtime.max_tx_bytes, once, outside=outside)]
+    if settings.replication.heartbeat_interval > 0 and not once:
+        queries.append(beat(spark, sink, f"{checkpoint}/heartbeat", settings.replication.heartbeat_interval, out, progress))
+    return queries
+
+
+def keep_running(begin: Callable[[], StreamingQuery], attempts: int | None = None, first: float = 0.5, most: float = 30.0) -> int:
+    """Run a query until it ends without an error, and begin it again from its checkpoint after each error, after a wait
+    that doubles from first to most seconds; a run longer than most starts the waits anew. attempts of None never
+    gives up. Returns how often it began again."""
+    wait, again = first, 0
+    while True:
+        began = time.monotonic()
+        try:
+            begin().awaitTermination()
+            return again
+        except StreamingQueryException:
+            if attempts is not None and again >= attempts:
+                raise
+            wait = first if time.monotonic() - began > most else wait
+            time.sleep(wait)
+            wait, again = min(most, 2 * wait), again + 1
+
+
+def drain(queries: Sequence[StreamingQuery], progress: Manager | None = None) -> None:
+    """Publish what has arrived, stop, and flush the progress."""
+    queries[0].processAllAvailable()
+    for q in queries:
+        q.stop()
+    if progress is not None:
+        progress.flush(force=True)

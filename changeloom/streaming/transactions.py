@@ -16,7 +16,7 @@ from changeloom.model import CELL, CHANGE_MESSAGES, RELATION
 
 #: The state store that such processors need.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-EVENT = "slot string, seq bigint, tx_no bigint, xid bigint, op string, rel_id bigint, rel string, before string, after string, event_lsn bigint, commit_us bigint, commit_lsn bigint, ordinal int, bytes bigint"
+EVENT = "slot string, seq bigint, tx_no bigint, xid bigint, op string, rel_id bigint, rel string, before string, after string, event_lsn bigint, commit_us bigint, commit_lsn bigint, ordinal int, bytes bigint, outside boolean"
 
 
 def cells_bytes(cells: str | None, columns: list[dict[str, Any]] | None) -> int:
@@ -31,7 +31,8 @@ def cells_bytes(cells: str | None, columns: list[dict[str, Any]] | None) -> int:
 
 class Assembler(StatefulProcessor):
     """Per slot: the open transaction, its changes so far, and the newest version of each relation. A begin discards
-    what is open, a commit emits it, a transaction beyond max_tx_bytes is dropped, and so are changes outside of one."""
+    what is open, a commit emits it, a transaction beyond max_tx_bytes is dropped. Changes outside of one come out at once,
+    marked as such and without a transaction's fields."""
 
     def __init__(self, max_tx_bytes: int):
         self.most = max_tx_bytes
@@ -49,9 +50,18 @@ class Assembler(StatefulProcessor):
         tx_no, xid, commit_us, n, size, inside = self.open.get() if self.open.exists() else (0, 0, 0, 0, 0, False)
         held: list[tuple] = []  # of the open transaction, not yet in the state
         out: list[tuple] = []
+        known: dict[int, tuple[str | None, list | None]] = {}  # relations as this batch has seen them last
+
+        def relation(rel_id: int) -> tuple[str | None, list | None]:
+            if rel_id not in known:
+                rel = self.relations.getValue((rel_id,))[0] if self.relations.containsKey((rel_id,)) else None
+                known[rel_id] = (rel, json.loads(rel)["columns"] if rel else None)
+            return known[rel_id]
+
         for m in batch.itertuples(index=False):
             if m.msg == "R":
                 self.relations.updateValue((int(m.rel_id),), (m.rel,))
+                known.pop(int(m.rel_id), None)
             elif m.msg == "B":
                 self.changes.clear()
                 held, tx_no, xid, commit_us, n, size, inside = [], tx_no + 1, int(m.xid), int(m.commit_us), 0, 0, True
@@ -59,31 +69,39 @@ class Assembler(StatefulProcessor):
                 if self.most <= 0 or size <= self.most:
                     before = [tuple(c) for c in self.changes.get()] if n > len(held) else []
                     for k, (seq, op, rel_id, rel, old, new, lsn, bytes_) in enumerate([*before, *held], 1):
-                        out.append((key[0], seq, tx_no, xid, op, rel_id, rel, old, new, lsn, commit_us, int(m.lsn), k, bytes_))
+                        out.append((key[0], seq, tx_no, xid, op, rel_id, rel, old, new, lsn, commit_us, int(m.lsn), k, bytes_, False))
                 self.changes.clear()
                 held, n, size, inside = [], 0, 0, False
             elif m.msg in CHANGE_MESSAGES and inside:
                 rel_id = int(m.rel_id)
-                rel = self.relations.getValue((rel_id,))[0] if self.relations.containsKey((rel_id,)) else None
-                columns = json.loads(rel)["columns"] if rel else None
+                rel, columns = relation(rel_id)
                 bytes_ = 64 + cells_bytes(m.before, columns) + cells_bytes(m.after, columns)
                 size += bytes_
                 if self.most <= 0 or size <= self.most:
                     held.append((int(m.seq), CHANGE_MESSAGES[m.msg], rel_id, rel, m.before, m.after, int(m.wal_start), bytes_))
                     n += 1
+            elif m.msg in CHANGE_MESSAGES:
+                out.append((key[0], int(m.seq), None, None, CHANGE_MESSAGES[m.msg], int(m.rel_id), relation(int(m.rel_id))[0], m.before, m.after, int(m.wal_start), None, None, None, None, True))
         if held:
             self.changes.appendList(held)
         self.open.update((tx_no, xid, commit_us, n, size, inside))
         if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in EVENT.split(", ")])
+            made = pd.DataFrame(out, columns=[c.split()[0] for c in EVENT.split(", ")])
+            yield made.astype({c: "Int64" for c in ("tx_no", "xid", "commit_us", "commit_lsn", "bytes")} | {"ordinal": "Int32"})
 
     def close(self) -> None:
         pass
 
 
 def stream_events(messages: DataFrame, max_tx_bytes: int = 64 << 20) -> DataFrame:
-    """assemble().events of a stream of messages, in the batch in which their commit arrives. Messages of a slot must
-    arrive in order from batch to batch; within a batch they are sorted. The session needs STATE_STORE."""
+    """assemble().events of a stream of messages, in the batch in which their commit arrives."""
+    return stream_changes(messages, max_tx_bytes).where("not outside").drop("outside")
+
+
+def stream_changes(messages: DataFrame, max_tx_bytes: int = 64 << 20) -> DataFrame:
+    """stream_events(), and with outside true the changes that stand in no transaction. Messages of a slot must arrive
+    in order from batch to batch; within a batch they are sorted, so what a trigger takes in of one slot should fit in
+    a task's memory. The session needs STATE_STORE."""
     text = lambda c: F.when(F.col(c).isNotNull(), F.to_json(c)).alias(c)
     rows = messages.where(F.col("msg").isin("R", "B", "C", *CHANGE_MESSAGES)).select(
         "slot", "seq", "msg", "wal_start", F.coalesce("xid", F.lit(0)).alias("xid"), F.coalesce("lsn", F.lit(0)).alias("lsn"),
