@@ -45,5 +45,7 @@ def quoted(name: str) -> str:
     return '"' + name.replace("\x00", "").replace('"', '""') + '"'
 
 
-def literal(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+def quoted_name(name: str) -> str:
+    """A qualified name for SQL; the schema is public without one."""
+    schema, _, table = name.partition(".") if "." in name else ("public", "", name)
+    return f"{quoted(schema)}.{quoted(table)}"

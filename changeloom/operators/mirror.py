@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +16,19 @@ def latest(changes: DataFrame, key: Sequence[str], order: Sequence[str], deleted
     return newest.where("not _gone").select("_row.*")
 
 
-def from_records(records: DataFrame, fields: dict[str, str], key: Sequence[str]) -> DataFrame:
+def from_records(records: DataFrame, fields: dict[str, str], key: Sequence[str] = (), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Mirror rows of change records (value): fields (name -> type) of the after image, of before where a row was
-    deleted, with op, ver (the transaction) and lsn. Markers and heartbeats are no changes."""
+    deleted, with op, ver (the transaction) and lsn. Markers and heartbeats are no changes. A field that
+    is missing or not of its type is null, or what defaults has for it; rows without a value in key go."""
     value = F.col("value")
     op, at = F.get_json_object(value, "$.op"), F.get_json_object(value, "$.lsn")
     rows = records.where(op.isin("c", "r", "u", "d"))
     side = lambda name: F.when(op == "d", F.get_json_object(value, f"$.before.{name}")).otherwise(F.get_json_object(value, f"$.after.{name}"))
     from changeloom.functions.lsn import lsn_number
 
-    return rows.select(*[side(n).try_cast(t).alias(n) for n, t in fields.items()], op.alias("op"), F.get_json_object(value, "$.txid").cast("bigint").alias("ver"), lsn_number(at).alias("lsn"), *[c for c in ("ordinal",) if c in records.columns])
+    field = lambda n, t: F.coalesce(side(n).try_cast(t), F.lit(defaults[n]).cast(t)) if n in (defaults or {}) else side(n).try_cast(t)
+    out = rows.select(*[field(n, t).alias(n) for n, t in fields.items()], op.alias("op"), F.get_json_object(value, "$.txid").cast("bigint").alias("ver"), lsn_number(at).alias("lsn"), *[c for c in ("ordinal",) if c in records.columns])
+    return out.dropna(subset=list(key)) if key else out
 
 
 def key_moves(changes: DataFrame, key: Sequence[str], before_key: Sequence[str]) -> DataFrame:

@@ -13,8 +13,10 @@ from changeloom.functions import cells, names, pgtypes
 from changeloom.functions.lsn import commit_time, lsn_number
 from changeloom.model import VALUE
 from changeloom.operators import assemble, envelope, metrics, mirror, progress, publish, scale
+from changeloom.plans import log
 from changeloom.sources import snapshot as snap
 from changeloom.sources import wal
+from changeloom.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,15 +45,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf: str) -> DataFrame:
-    return wal.event_changes(table(spark, sf, "events"))
+    return log.event_changes(table(spark, sf, "events"))
+
+
+def timed(spark, sf):
+    return changes(spark, sf).withColumn("at", F.col("ts").cast("timestamp"))
 
 
 def event_number(lsn):
-    return ((lsn - wal.LSN_BASE) / wal.LSN_STEP).cast("bigint")
+    return ((lsn - log.LSN_BASE) / log.LSN_STEP).cast("bigint")
 
 
 def messages(spark, sf):
-    return wal.messages_from_events(table(spark, sf, "events"))
+    return log.messages_from_events(table(spark, sf, "events"))
 
 
 LSN_SQL = "printf('%X/%X', lsn >> 32, lsn & 4294967295)"
@@ -74,7 +80,7 @@ def q02_envelope_flat(spark, sf):
 def q03_message_key(spark, sf):
     rows = changes(spark, sf)
     columns = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(25).cast("bigint").alias("type_oid"), F.lit(k).alias("is_key")) for n, k in (("user_id", True), ("event_type", True), ("value", False))])
-    after = cells.decoded(F.array(wal.cell(F.col("user_id").cast("string")), wal.cell(F.col("event_type")), wal.cell(F.col("value").cast("string"))), columns)
+    after = cells.decoded(F.array(log.cell(F.col("user_id").cast("string")), log.cell(F.col("event_type")), log.cell(F.col("value").cast("string"))), columns)
     return rows.select("seq", cells.json(cells.sorted_map(cells.image(cells.key_values(F.lit(None).cast(f"array<{VALUE}>"), after)))).alias("key"))
 
 
@@ -290,7 +296,7 @@ def q27_dedup_replay(spark, sf):
 @query("""with b as (select min(ts) a, max(ts) z, 16777216 + max(event_id) * 64 lsn from events)
 select 'cdc.__heartbeat' topic, regexp_replace(strftime(t, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') || 'Z' as_of, """ + LSN_SQL + """ lsn from b, lateral (select unnest(generate_series(a, z, interval '5 hours 59 minutes 59.75 seconds')) t) s""")
 def q28_heartbeats(spark, sf):
-    span = table(spark, sf, "events").agg(F.min("ts").cast("timestamp").alias("start"), F.max("ts").cast("timestamp").alias("end"), (F.lit(wal.LSN_BASE) + F.max("event_id") * wal.LSN_STEP).alias("lsn"))
+    span = table(spark, sf, "events").agg(F.min("ts").cast("timestamp").alias("start"), F.max("ts").cast("timestamp").alias("end"), (F.lit(log.LSN_BASE) + F.max("event_id") * log.LSN_STEP).alias("lsn"))
     return envelope.heartbeats(span, "5 hours 59 minutes 59.75 seconds", envelope.Output(database=DATABASE)).select("topic", F.col("timestamp").alias("as_of"), "lsn")
 
 
@@ -378,7 +384,7 @@ def q38_before_after_update(spark, sf):
     user = F.coalesce(F.col("after")[0]["text"], F.col("before")[0]["text"])
     events = changes(spark, sf).select(F.col("lsn").alias("_lsn"), F.lag("event_type").over(Window.partitionBy("user_id").orderBy("seq")).alias("_old"))
     rows = messages(spark, sf).join(events, F.col("wal_start") == F.col("_lsn"), "left")
-    before = F.array(wal.cell(user), wal.cell(F.col("_old")), wal.unchanged_cell(), wal.unchanged_cell())
+    before = F.array(log.cell(user), log.cell(F.col("_old")), log.unchanged_cell(), log.unchanged_cell())
     rows = rows.withColumn("before", F.when((F.col("msg") == "U") & F.col("_old").isNotNull(), before).otherwise(F.col("before"))).drop("_lsn", "_old")
     got = envelope.envelopes(assemble.assemble(rows).events).where("op = 'u' and before is not null")
     return got.select(event_number(lsn_number(F.col("lsn"))).alias("seq"), F.col("after")["user_id"].cast("bigint").alias("user_id"), F.col("before")["event_type"].alias("old_type"), F.col("after")["event_type"].alias("new_type"))
@@ -395,14 +401,14 @@ def q39_json_extract(spark, sf):
 
 @query("{wal} select strftime(time_bucket(interval 1 hour, ts), '%Y-%m-%d %H:%M') \"hour\", op, count(*) n from wal group by 1, 2")
 def q40_changes_per_hour(spark, sf):
-    return changes(spark, sf).groupBy(F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w"), "op").agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("hour"), "op", "n")
+    return windows.changes_per_window(timed(spark, sf), "at", ["op"], "1 hour").select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("hour"), "op", "n")
 
 
 @query("""{wal}, g as (select *, case when ts < lag(ts) over w + interval 6 hour then 0 else 1 end new from wal window w as (partition by user_id order by ts, seq)),
 s as (select *, sum(new) over (partition by user_id order by ts, seq rows unbounded preceding) no from g)
 select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') "start", count(*) n from s group by user_id, no""")
 def q41_session_changes(spark, sf):
-    return changes(spark, sf).groupBy(F.session_window(F.col("ts").cast("timestamp"), "6 hours").alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
+    return windows.sessions(timed(spark, sf), "at", ["user_id"], "6 hours").select("user_id", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
 @query("{wal} select op, event_type, count(*) n from wal group by cube (op, event_type)")
@@ -419,8 +425,8 @@ def q43_event_order(spark, sf):
 @query("{wal} select seq, (seq % 4 + 1)::bigint in_flight from wal where seq % 8 < 4")
 def q44_in_flight(spark, sf):
     """Four batches begin, then four end; how many are on their way at each begin."""
-    log = changes(spark, sf).select(F.lit("events").alias("slot"), "seq", F.when(F.col("seq") % 8 < 4, "start").otherwise("done").alias("event"))
-    return progress.in_flight(log, ["slot"], "seq").where("event = 'start'").select("seq", "in_flight")
+    batches = changes(spark, sf).select(F.lit("events").alias("slot"), "seq", F.when(F.col("seq") % 8 < 4, "start").otherwise("done").alias("event"))
+    return progress.in_flight(batches, ["slot"], "seq").where("event = 'start'").select("seq", "in_flight")
 
 
 @query("{wal} select seq, op from wal where txid = 5")
@@ -484,7 +490,7 @@ def q50_typed_log(spark, sf):
     return got.select(event_number(lsn_number(F.col("lsn"))).alias("seq"), cells.json(F.col("after")).alias("after"))
 
 
-START = wal.LSN_BASE + 64 * 503
+START = log.LSN_BASE + 64 * 503
 
 
 @query("{wal} select txid xid, count(*) n_events from wal where txid > 100 group by txid")

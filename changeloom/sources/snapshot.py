@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, DataType, StructField
 
-from changeloom.functions.names import schema_of, table_of
+from changeloom.functions.names import quoted_name, schema_of, table_of
 from changeloom.functions.pgtypes import normalised
 from changeloom.model import COLUMN
 
@@ -88,9 +88,10 @@ def pages(table: DataFrame, pk: Sequence[str], size: int, width: int = 100_000)
     return rows.withColumn("page", F.floor((F.col("_number") + F.col("_before") - 1) / size).cast("bigint")).drop("_stretch", "_number", "_before")
 
 
-def read_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8, fetch_size: int = 10_000) -> DataFrame:
-    """A table over JDBC, in parts by key where bounds are given. Needs the database's driver on the class path."""
-    read = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
+def read_table(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8, fetch_size: int = 10_000) -> DataFrame:
+    """A table of a qualified name over JDBC, in parts by key where bounds are given. Needs the database's driver on the
+    class path."""
+    read = spark.read.format("jdbc").option("url", url).option("dbtable", quoted_name(name)).option("fetchsize", fetch_size)
     if key and bounds:
         read = read.option("partitionColumn", key).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", parts)
     return read.load()

@@ -237,3 +237,40 @@ def test_chunks(spark):
     rows = spark.createDataFrame([("t", k) for k in range(5)], "topic string, ord int")
     assert [r.chunk for r in publish.chunked(rows, ["topic"], ["ord"], 2).orderBy("ord").collect()] == [0, 0, 1, 1, 2]
     assert {r.chunk for r in publish.chunked(rows, ["topic"], ["ord"], 0).collect()} == {0}
+
+
+def test_mirror_fields_with_defaults(spark):
+    put = lambda after, op="c": json.dumps({"op": op, "txid": 7, "lsn": "0/1", "before": None, "after": after})
+    records = spark.createDataFrame([(put({"id": "1", "n": "5"}),), (put({"id": "2", "n": "x"}),), (put({"n": "3"}),), ('{"op":"begin","txid":7}',), ('{"source":"cdc","timestamp":"t"}',)], "value string")
+    got = mirror.from_records(records, {"id": "int", "n": "int", "name": "string"}, ["id"], {"n": 0, "name": ""})
+    assert sorted((r.id, r.n, r.name, r.ver) for r in got.collect()) == [(1, 5, "", 7), (2, 0, "", 7)]
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    from datetime import timedelta
+
+    from changeloom.streaming import windows
+
+    def went(name, change, batches):
+        place = tmp_path / name
+        place.mkdir()
+        stream = spark.readStream.schema("at timestamp, op string, k int").option("maxFilesPerTrigger", 1).parquet(str(place))
+        for k, rows in enumerate(batches):
+            spark.createDataFrame([(AT + timedelta(minutes=m), op, i) for m, op, i in rows], "at timestamp, op string, k int").coalesce(1).write.mode("append").parquet(str(place))
+            query = change(stream).writeStream.format("parquet").option("path", str(place) + "-out").option("checkpointLocation", str(place) + "-cp").trigger(availableNow=True).start()
+            query.awaitTermination(120)
+        return spark.read.parquet(str(place) + "-out").collect()
+
+    batches = [[(0, "c", 1), (10, "c", 2), (70, "u", 3)], [(200, "u", 4), (20, "c", 5)], [(400, "c", 6), (1, "c", 1)], [(900, "d", 7)]]
+    hours = went("hours", lambda s: windows.changes_per_window(s, "at", ["op"], "1 hour", late="2 hours"), batches)
+    assert sorted((r.window.start.hour, r.op, r.n) for r in hours)[:3] == [(15, "c", 3), (16, "u", 1), (18, "u", 1)]
+    met = went("met", lambda s: windows.sessions(s, "at", ["op"], "30 minutes", late="2 hours"), batches)
+    assert ("c", 3) in [(r.op, r.n) for r in met]
+    once = went("once", lambda s: windows.once_each(s, "at", ["k"], "24 hours"), batches)
+    assert sorted(r.k for r in once) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_names_for_sql():
+    from changeloom.functions import names
+
+    assert names.quoted_name('a"b.c.d') == '"a""b"."c.d"' and names.quoted_name("t") == '"public"."t"' and names.heartbeat_topic("", "all") == "all.__heartbeat"
