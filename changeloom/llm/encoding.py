@@ -14,11 +14,14 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Counted as white space by some versions of Unicode only; texts with it are not cut.
 UNSURE = "᠎"
 
@@ -57,6 +60,11 @@ def atoms(stretch: str) -> list[str]:
     return out
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian uint32."""
+    return array("I", ids).tobytes() if NATIVE else np.asarray(ids, "<u4").tobytes()
+
+
 class Known(dict):
     """Stretch without the space before it -> its ids. What no longer fits is found in spare, which learn() empties."""
 
@@ -85,27 +93,34 @@ class Encoder:
         self.margin = 2 + max([0, *(len(a["content"]) for a in spec.get("added_tokens", []))])
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, stretches: list[str]) -> None:
         """Make the ids of clean stretches that follow a space known, until the next call where the cache is full."""
-        made = {s: atoms(s) for s in set(stretches) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()}
+        unmet = set(stretches)
+        words = [s for s in unmet if s.isalnum() and len(s) <= 64]  # these have one part
+        made = {s: atoms(s) for s in unmet.difference(words) if s and len(s) <= 64 and not s[0].isspace() and not s[-1].isspace()}
         known = self.cache
         known.spare = {}
-        heads = list({parts[0] for parts in made.values() if parts[0][1:] not in known})
+        heads = words + list({parts[0][1:] for parts in made.values() if parts[0][1:] not in known}.difference(words))
         tails = list({a for parts in made.values() for a in parts[1:]}.difference(self.tails))
+        for at in range(0, len(tails), 5000):
+            self.tails.update(zip(tails[at : at + 5000], self.plain(tails[at : at + 5000]), strict=True))
         fresh: dict[str, bytes] = {}
-        for some, kept in ((heads, fresh), (tails, self.tails)):
-            for at in range(0, len(some), 5000):
-                kept.update(zip(some[at : at + 5000], self.plain(some[at : at + 5000]), strict=True))
+        for at in range(0, len(heads), 5000):
+            some = heads[at : at + 5000]
+            fresh.update(zip(some, self.plain([" " + h for h in some]), strict=True))
         for s, (head, *rest) in made.items():
-            if head in fresh:
-                ids, into = fresh[head], known.spare  # of words met once few come again, least of all with a mark
+            if head[1:] in fresh:
+                ids, into = fresh[head[1:]], known.spare  # of words met once few come again, least of all with a mark
             else:
                 ids, into = known[head[1:]], known if rest and "\n" not in s and len(known) < self.cache_size else known.spare
             into[s] = b"".join([ids, *(self.tails[a] for a in rest)]) if rest else ids
-        for head, ids in fresh.items():
-            (known if len(known) < self.cache_size and "\n" not in head else known.spare)[head[1:]] = ids
+        if len(known) + len(words) <= self.cache_size:
+            known.update((h, fresh[h]) for h in words)
+            heads = heads[len(words) :]
+        for head in heads:
+            (known if len(known) < self.cache_size and "\n" not in head else known.spare)[head] = fresh[head]
         if len(self.tails) > self.cache_size // 8:
             for a in tails:
                 del self.tails[a]
