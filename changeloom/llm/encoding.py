@@ -12,6 +12,7 @@ looks no further than one character ahead:
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import sys
@@ -226,6 +227,18 @@ def encoder(path: str | None, chunk_chars: int = 50_000) -> Encoder:
     return _made[key]
 
 
+def release() -> None:
+    """Give freed memory back to the system. Spark uses its Python workers again, and what an idle one holds counts
+    against its executor."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def forget() -> None:
     """Let go of this process's encoders. Spark uses its workers again, and other operators have no use for them."""
-    _made.clear()
+    if _made:
+        _made.clear()
+        release()

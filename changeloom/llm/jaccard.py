@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from changeloom.llm import encoding
 from changeloom.llm.components import components
 from changeloom.llm.phrases import mixed
-from changeloom.llm.text import ship, small_side, stored
+from changeloom.llm.text import ship, small_side, stored, tidy
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -135,7 +135,7 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
         for batch, sets, names in set_batches(batches, width):
             yield pa.RecordBatch.from_arrays([batch.column("id"), *name_columns(names), pa.array([len(g) for g in sets], pa.int64()), lists(sets)], ["id", "digest", "check", "n", "grams"])
 
-    return docs.mapInArrow(made, f"id {kind}, digest long, check long, n long, grams array<long>")
+    return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, grams array<long>")
 
 
 def repeated_columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +177,7 @@ def surveyed(docs: DataFrame, width: int, chunk: int = 2_000_000) -> DataFrame:
         if held:
             yield counted()
 
-    return docs.mapInArrow(made, f"id {kind}, digest long, check long, n long, gram long, uses long")
+    return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, gram long, uses long")
 
 
 def led(g: np.ndarray, last: np.ndarray, k: int) -> np.ndarray:
@@ -333,7 +333,7 @@ def multiplied(entries: DataFrame, wide: int, percent: int, bounded: bool = True
         for out in bucket_product(blocks, passed, wide, percent):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "n_a", "n_b", "shared"])
 
-    got = stored(entries.groupBy("bucket").applyInArrow(product, "a long, b long, n_a long, n_b long, shared long"), "product")
+    got = stored(entries.groupBy("bucket").applyInArrow(tidy(product), "a long, b long, n_a long, n_b long, shared long"), "product")
     pairs = got.where("shared > 0").groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     if bounded:
         pairs = pairs.where(may_link(F.col("n_a"), F.col("n_b"), F.col("shared"), percent))
@@ -435,7 +435,7 @@ def repeated_in(members: DataFrame, chunk: int = 2_000_000) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in repeated_columns(held)], ["gram", "uses"])
 
-    return members.select("row", "grp", "n", "inside", "tied", "outside").mapInArrow(made, "gram long, uses long")
+    return members.select("row", "grp", "n", "inside", "tied", "outside").mapInArrow(tidy(made), "gram long, uses long")
 
 
 def led_entries(members: DataFrame, last: np.ndarray, buckets: int, wide: int, percent: int) -> DataFrame:
@@ -446,7 +446,7 @@ def led_entries(members: DataFrame, last: np.ndarray, buckets: int, wide: int, p
         rows = ((row, n, tied, led(g, last, len(g) - max(1, -(-n * percent // 100) - inside) + 1)) for row, n, inside, tied, g in group_columns(batches) if len(g))
         yield from dealt((x for x in rows if len(x[3])), buckets, wide)
 
-    return members.select("row", "grp", "n", "inside", "tied", "outside").mapInArrow(lead, "bucket long, block binary")
+    return members.select("row", "grp", "n", "inside", "tied", "outside").mapInArrow(tidy(lead), "bucket long, block binary")
 
 
 def regrouped(members: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
@@ -489,7 +489,7 @@ def regrouped(members: DataFrame, crowded: DataFrame, percent: int) -> DataFrame
                     ["row", "grp", "digest", "id", "n", "inside", "tied", "bits", "outside", "hub_id", "linked"],
                 )
 
-    return stored(joins.join(own, "row").join(hub, "hub").mapInArrow(strip, MEMBER.format(kind=kind)), "members")
+    return stored(joins.join(own, "row").join(hub, "hub").mapInArrow(tidy(strip), MEMBER.format(kind=kind)), "members")
 
 
 def block_products(members: DataFrame, percent: int, block: int) -> DataFrame:
@@ -571,7 +571,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
         yield from dealt(entries(), n_first, wide)
 
-    pairs, heavy = multiplied(source.mapInArrow(lead, "bucket long, block binary"), wide, percent)
+    pairs, heavy = multiplied(source.mapInArrow(tidy(lead), "bucket long, block binary"), wide, percent)
     found = [stored(pairs, "pairs")]
     hot = stored(heavy.select(F.col("row").alias("digest")).distinct(), "hot")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.text import ship, stored
+from changeloom.llm.text import ship, stored, tidy
 
 SLOTS = 64
 #: Phrases below this level are a few characters long and common to all texts of a language.
@@ -192,7 +192,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    got = stored(rows.mapInArrow(streamed, f"id {kind}, part long, edge string, is_first boolean, {made}"), "phrases")
+    got = stored(rows.mapInArrow(tidy(streamed), f"id {kind}, part long, edge string, is_first boolean, {made}"), "phrases")
 
     # Two rows for each range: its last document goes to the first one of the next range that has any.
     parts = sorted(r["part"] for r in got.where("is_first").select("part").collect())  # one number for each task
@@ -208,5 +208,5 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                 rows = finished([(text, *sketches([text]), follower, *sketches([follower]))])
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, 1), *[pa.array(c) for c in zip(*rows, strict=True)]], ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    whole = got.where("part is null").drop("part", "edge", "is_first").unionByName(edges.mapInArrow(closed, f"id {kind}, {made}"))
+    whole = got.where("part is null").drop("part", "edge", "is_first").unionByName(edges.mapInArrow(tidy(closed), f"id {kind}, {made}"))
     return whole.withColumnRenamed("id", id_col)

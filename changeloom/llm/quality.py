@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.text import ship, stored
+from changeloom.llm import encoding
+from changeloom.llm.text import ship, stored, tidy
 
 STATISTICS = (
     "log words", "mean word bytes", "long words", "letters beyond ASCII", "capitals", "capital words", "digits", "punctuation", "commonest punctuation",
@@ -99,10 +100,15 @@ def summed(rows: DataFrame, part, width: int, groups: int = 16) -> np.ndarray:
     def together(table: pa.Table) -> pa.Table:
         return pa.table({"v": [np.sum([np.frombuffer(v) for v in table.column("v").to_pylist()], axis=0).tobytes()]})
 
-    got = rows.mapInArrow(tasks, "g int, v binary").groupBy("g").applyInArrow(together, "v binary").collect()  # groups rows
+    got = rows.mapInArrow(tidy(tasks), "g int, v binary").groupBy("g").applyInArrow(together, "v binary").collect()  # groups rows
     return np.sum([np.frombuffer(r["v"]) for r in got], axis=0) if got else np.zeros(width)
 
 
+def measured(texts: pa.Array) -> list:
+    encoding.forget()
+    return [statistics(x) for x in texts.to_pylist()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 20_000, n_features: int = 256, ridge: float = 1e-3, seed: int = 7, n_bins: int = 2000) -> Model:
     """A model of label_col (0 or 1) from documents whose remainder() is not 0.
 
@@ -118,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (remainder(id_col) != 0))
     chosen = chosen.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    rows = rows.select("id", "y", F.arrow_udf(lambda t: pa.array([statistics(x) for x in t.to_pylist()], pa.list_(pa.float64())), "array<double>")("text").alias("x"))
+    rows = rows.select("id", "y", F.arrow_udf(lambda t: pa.array(measured(t), pa.list_(pa.float64())), "array<double>")("text").alias("x"))
     rows = stored(rows, "quality-rows")
     calibrating = remainder("id") == 4
     train, held = rows.where(~calibrating), rows.where(calibrating)
@@ -151,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(model: Model, text: Column) -> Column:
     """A text's calibrated score, from 0 to 1; null and empty texts have one, too."""
-    return F.arrow_udf(lambda t: pa.array(model.scores(np.array([statistics(x) for x in t.to_pylist()], float).reshape(-1, len(STATISTICS)))), "double")(text)
+    return F.arrow_udf(lambda t: pa.array(model.scores(np.array(measured(t), float).reshape(-1, len(STATISTICS)))), "double")(text)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3) -> DataFrame:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions.cells import let
+from changeloom.llm.encoding import release
 from changeloom.operators.scale import shared_path, stored
 
-__all__ = ["ascii_lower", "hash128", "let", "shared_path", "ship", "small_side", "stored"]
+__all__ = ["ascii_lower", "hash128", "let", "shared_path", "ship", "small_side", "stored", "tidy"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators of words: space and the control characters tab to carriage return.
@@ -36,13 +39,30 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+#: Spark's own number of rows in a batch for Python, and the one that texts take: 10,000 of them may be gigabytes.
+ARROW_ROWS, SPARK_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def tidy(made: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """made, which gives freed memory back to the system when it is through."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from made(batches)
+        release()
+
+    return through
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each Spark application, for tasks that run Python."""
+    """Send this package to the executors, once for each Spark application, for tasks that run Python. Where the session
+    has Spark's own number of rows in a batch for Python it becomes TEXT_ROWS."""
     import os
     import shutil
 
     import changeloom
 
+    if spark.conf.get(ARROW_ROWS) == SPARK_ROWS:
+        spark.conf.set(ARROW_ROWS, TEXT_ROWS)
     app = spark.sparkContext.applicationId
     if getattr(ship, "done", None) != app:
         root = os.path.dirname(os.path.dirname(os.path.abspath(changeloom.__file__)))

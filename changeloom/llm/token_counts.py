@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm import encoding
-from changeloom.llm.text import ship
+from changeloom.llm.text import ship, tidy
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, path: str | None = None) -> DataFrame:
@@ -30,5 +30,5 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(counted, f"id {kind}, n_bytes long, n_tokens long")
+    out = rows.mapInArrow(tidy(counted), f"id {kind}, n_bytes long, n_tokens long")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm import encoding
-from changeloom.llm.text import shared_path, ship, stored
+from changeloom.llm.text import shared_path, ship, stored, tidy
 from changeloom.operators.scale import running_sum
 
 MAGIC = b"CLTOKEN1"
@@ -164,7 +164,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    return stored(rows.mapInArrow(written, "file string, part long, seq long, n_documents long, n_tokens long"), "token-manifest")
+    return stored(rows.mapInArrow(tidy(written), "file string, part long, seq long, n_documents long, n_tokens long"), "token-manifest")
 
 
 def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -189,7 +189,7 @@ def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(table["id"], mask=table["null"] == 1), pa.array(base + starts), pa.array(table["n"].astype(np.int64)), pa.array(sums, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
     dealt = files.repartition(max(1, manifest.count() // 4), "file")  # a number, else so few bytes go to one task
-    return dealt.mapInArrow(documents, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
+    return dealt.mapInArrow(tidy(documents), "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
