@@ -56,3 +56,27 @@ def test_mixing_keeps_columns_of_any_name(spark):
     want = {tuple(r): copies[r.text] for r in docs.where("doc_id is not null and text <> ''").collect()}
     assert {r: n for r, n in by_row.items() if r[1]} == {r: n for r, n in want.items() if n}
     assert Counter(r[1] for r in corpus_pipeline.mix_sources(spark, docs, "").collect()) == Counter(r.text for r in mixing.repeated(plain).collect())
+
+
+def test_documents_that_the_classifier_rejects_go(spark):
+    from changeloom.llm import quality
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = {r.doc_id for r in quality.classify(docs, labels).where("score >= 0.3").select("doc_id").collect()}
+    got = corpus_pipeline.keep_quality(spark, docs, sf)
+    assert got.columns == docs.columns
+    assert Counter(map(tuple, got.collect())) == Counter(tuple(r) for r in docs.collect() if r.doc_id in good)
+    assert 0 < len(good) < docs.count()
+    bad = {r.doc_id for r in labels.where("quality = 0").collect()}
+    assert len(good & bad) < 0.3 * len(bad)
+
+
+def test_token_files_hold_every_document(spark):
+    from changeloom.llm import token_counts
+
+    rows = [(3, "some words"), (3, "some words"), (None, "x"), (1, None), (2, "word " * 500)]
+    docs = table(spark, rows)
+    counts = Counter((r.doc_id, r.n_tokens + 1) for r in token_counts.count_tokens(docs).collect())
+    got = corpus_pipeline.write_token_files(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == counts
