@@ -12,6 +12,7 @@ from changeloom.functions import pgtypes
 from changeloom.model import MESSAGE
 from changeloom.operators import assemble, envelope, metrics, mirror, progress, publish
 from changeloom.sinks import FileSink, KafkaSink, MemorySink, RetryingSink, topics
+from changeloom.sources import wal
 from changeloom.sources.pgoutput import register
 from changeloom.streaming import engine
 from tests.test_log import AT, expected, found, one, random_log, rel
@@ -56,7 +57,7 @@ def test_captures_as_a_stream_over_restarts(spark, tmp_path):
 
 def logged(spark, path, rows):
     spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(str(path))
-    return spark.readStream.schema(MESSAGE).parquet(str(path))
+    return wal.stream_messages(spark, str(path), files_per_batch=1)
 
 
 STRAY = [("s", 1, 1, "I", None, None, None, 1, None, None, [("t", "9"), ("n", None)]), ("s", 2, 2, "B", 7, 90, AT, None, None, None, None), ("s", 3, 3, "I", None, None, None, 1, None, None, [("t", "1"), ("n", None)]), ("s", 4, 4, "C", None, 90, AT, None, None, None, None)]
@@ -274,3 +275,10 @@ def test_names_for_sql():
     from changeloom.functions import names
 
     assert names.quoted_name('a"b.c.d') == '"a""b"."c.d"' and names.quoted_name("t") == '"public"."t"' and names.heartbeat_topic("", "all") == "all.__heartbeat"
+
+
+def test_tables_over_jdbc_need_the_driver(spark):
+    from changeloom.sources import snapshot
+
+    with pytest.raises(Exception, match="driver"):
+        snapshot.read_table(spark, "jdbc:postgresql://h/d", "users", "id", (0, 9))
