@@ -507,6 +507,8 @@ def block_products(members: DataFrame, percent: int, block: int) -> DataFrame:
     rows = close.join(group, "grp").withColumn("other", free & suffices(F.col("inside"), F.col("n"), F.col("most"), F.col("least")))
     rows = rows.where(F.col("other") | suffices(F.col("inside"), F.col("n"), F.col("most_free"), F.col("least_free")))
     rows = stored(rows.select("grp", "row", "id", "n", "other", "bits", "outside"), "close")
+    if rows.where("other").isEmpty():
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     blocks = rows.groupBy("grp").agg(F.ceil(F.count("*") / block).alias("blocks"), F.ceil(F.count_if("other") / block).alias("others"), F.count("*").alias("k")).where("others > 0 and k > 1").drop("k")
     rows = rows.join(blocks, "grp")
     own = lambda n: F.pmod(F.xxhash64("row"), F.col(n))

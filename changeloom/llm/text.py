@@ -40,14 +40,18 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 #: Spark's own number of rows in a batch for Python, and the one that texts take: 10,000 of them may be gigabytes.
-ARROW_ROWS, SPARK_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+ARROW_ROWS, SPARK_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "500"
+BATCH_BYTES = 2 << 20  # of a batch that Python returns; the JVM holds it outside its heap
 
 
 def tidy(made: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """made, which gives freed memory back to the system when it is through."""
+    """made, which returns its batches in parts of about BATCH_BYTES and gives freed memory back when it is through."""
 
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from made(batches)
+        for batch in made(batches):
+            step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+            for at in range(0, max(1, batch.num_rows), step):
+                yield batch.slice(at, step)
         release()
 
     return through
