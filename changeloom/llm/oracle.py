@@ -61,4 +61,29 @@ select doc_id, size, source_size, target,
 from placed
 """
 
-ORACLE = {"op2_line_dedup": OP2, "op6_decontaminate": OP6, "op9_mix_sources": OP9}
+OP12 = r"""
+with d as (select doc_id, coalesce(text, '') t, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),
+u as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') m, ('0x' || h[1:8])::bigint h1, ('0x' || h[9:16])::bigint h2, ('0x' || h[17:24])::bigint h3, ('0x' || h[25:32])::bigint h4 from d),
+c as (select *, len(m)::bigint n, least(h1 % (len(m) + 1), h2 % (len(m) + 1)) c1, greatest(h1 % (len(m) + 1), h2 % (len(m) + 1)) c2 from u),
+o as (select *, array_to_string(m[1:c1], '') p, array_to_string(m[c1 + 1:c2], '') i, array_to_string(m[c2 + 1:], '') s,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end form from c)
+select doc_id, n, form, case when form <> 'plain' then length(p)::bigint end prefix_chars, case when form <> 'plain' then length(i)::bigint end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || i else '<S>' || s || '<P>' || p || '<M>' || i end) output_sha256, sha256(t) restored_sha256
+from o
+"""
+
+TERMS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""
+with d as (select doc_id, {TERMS} w from documents),
+q as (select item_id, term, count(*) uses from (select item_id, unnest({TERMS}) term from benchmark) group by all),
+size as (select count(*) filter (len(w) > 0)::bigint n, sum(len(w))::bigint total from d),
+p as (select doc_id, words, term, count(*) tf from (select doc_id, len(w) words, unnest(w) term from d) where term in (select term from q) group by all),
+weights as (select term, floor(1000 * ln((2 * n + 2)::double / (2 * df + 1)))::bigint w from (select term, count(*) df from p group by term), size),
+scores as (select item_id, doc_id, sum(uses * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * words * n) // total))))::bigint score
+  from q join p using (term) join weights using (term), size group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int "rank", doc_id, score
+from scores where score > 0 qualify "rank" <= 10
+"""
+
+ORACLE = {"op2_line_dedup": OP2, "op6_decontaminate": OP6, "op9_mix_sources": OP9, "op12_fill_middle": OP12, "op13_lexical_search": OP13}

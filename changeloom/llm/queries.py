@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import decontaminate, jaccard, line_dedup, mixing, phrases, quality, secret_scan, token_counts, token_io, url_rules
+from changeloom.llm import decontaminate, fill_middle, jaccard, language, lexical, line_dedup, mixing, phrases, quality, secret_scan, token_counts, token_io, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,4 +65,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_line_dedup, op3_token_files, op4_secret_scan, op5_fingerprint, op6_decontaminate, op7_quality, op8_token_counts, op9_mix_sources, op10_url_filter)}
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.rearrange(table(spark, sf_dir, "documents"))
+    sha = lambda text, name: F.sha2(text, 256).alias(name)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output"), "output_sha256"), sha(fill_middle.restored(F.col("output"), F.col("form")), "restored_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_line_dedup, op3_token_files, op4_secret_scan, op5_fingerprint, op6_decontaminate, op7_quality, op8_token_counts, op9_mix_sources, op10_url_filter, op11_language, op12_fill_middle, op13_lexical_search)}
