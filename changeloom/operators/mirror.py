@@ -20,14 +20,19 @@ def from_records(records: DataFrame, fields: dict[str, str], key: Sequence[str]
     """Mirror rows of change records (value): fields (name -> type) of the after image, of before where a row was
     deleted, with op, ver (the transaction) and lsn. Markers and heartbeats are no changes. A field that
     is missing or not of its type is null, or what defaults has for it; rows without a value in key go."""
-    value = F.col("value")
-    op, at = F.get_json_object(value, "$.op"), F.get_json_object(value, "$.lsn")
-    rows = records.where(op.isin("c", "r", "u", "d"))
-    side = lambda name: F.when(op == "d", F.get_json_object(value, f"$.before.{name}")).otherwise(F.get_json_object(value, f"$.after.{name}"))
     from changeloom.functions.lsn import lsn_number
 
-    field = lambda n, t: F.coalesce(side(n).try_cast(t), F.lit(defaults[n]).cast(t)) if n in (defaults or {}) else side(n).try_cast(t)
-    out = rows.select(*[field(n, t).alias(n) for n, t in fields.items()], op.alias("op"), F.get_json_object(value, "$.txid").cast("bigint").alias("ver"), lsn_number(at).alias("lsn"), *[c for c in ("ordinal",) if c in records.columns])
+    kept = [c for c in ("ordinal",) if c in records.columns]
+    rows = records.select(F.try_parse_json("value").alias("v"), *kept)  # each record is parsed once
+    text = lambda path: F.try_variant_get("v", f"$.{path}", "string")
+    rows = rows.select(text("op").alias("op"), text("txid").cast("bigint").alias("ver"), lsn_number(text("lsn")).alias("lsn"), F.when(text("op") == "d", F.try_variant_get("v", "$.before", "variant")).otherwise(F.try_variant_get("v", "$.after", "variant")).alias("image"), *kept)
+    rows = rows.where(F.col("op").isin("c", "r", "u", "d"))
+
+    def field(name: str, kind: str) -> Column:
+        own = F.try_variant_get("image", f"$['{name}']", "string").try_cast(kind)
+        return F.coalesce(own, F.lit(defaults[name]).cast(kind)) if name in (defaults or {}) else own
+
+    out = rows.select(*[field(n, t).alias(n) for n, t in fields.items()], "op", "ver", "lsn", *kept)
     return out.dropna(subset=list(key)) if key else out
 
 

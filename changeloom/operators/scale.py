@@ -37,10 +37,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def all_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    """Every pair is equal, null to null."""
+    return functools.reduce(Column.__and__, [a.eqNullSafe(b) for a, b in pairs])
+
+
 def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """An equi-join on keys in which null equals null; the keys of left stay. right may come from the same table."""
     other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    same = all_equal([(F.col(k), F.col(f"_key_{k}")) for k in keys])
     return left.join(other, same, how).drop(*[f"_key_{k}" for k in keys])
 
 

@@ -13,6 +13,7 @@ from changeloom.functions import cells, names, pgtypes
 from changeloom.functions.lsn import commit_time, lsn_number
 from changeloom.model import VALUE
 from changeloom.operators import assemble, envelope, metrics, mirror, progress, publish, scale
+from changeloom.operators.kept_mirror import KeptMirror
 from changeloom.plans import log
 from changeloom.sources import snapshot as snap
 from changeloom.sources import wal
@@ -563,3 +564,46 @@ def q57_engine_metrics(spark, sf):
     got = metrics.gauges(assemble.assemble(rows, OVERSIZED).transactions, F.lit(NOW).cast("timestamp")).drop("commit_lag_micros")
     long = lambda df: df.unpivot([], df.columns, "name", "value")
     return long(got).unionByName(long(metrics.log_counters(doubled)))
+
+
+PARTS = 5
+PART_SQL = f"select *, seq * {PARTS} // (max(seq) over () + 1) part from wal"
+
+
+def kept_mirror_of_parts(spark, sf, parts: int) -> KeptMirror:
+    """The log in batches by position, each applied as it comes. After the third all is compacted; then come the second
+    once more under its own number, and the third as if it were another."""
+    rows = changes(spark, sf)
+    end = (rows.agg(F.max("seq")).first()[0] or 0) + 1
+    part = lambda k: rows.where(F.floor(F.col("seq") * PARTS / end) == k)
+    kept = KeptMirror(spark, scale.shared_path(spark, "kept-mirror"), ["user_id"], ["txid", "lsn"], "lsn")
+    for k in range(parts):
+        kept.apply(part(k), k, F.col("op") == "d")
+        if k == 2:
+            kept.compact(frontier=log.LSN_BASE + log.LSN_STEP * (-(-3 * end // PARTS) - 1))
+            kept.apply(part(1), 1, F.col("op") == "d")
+            kept.apply(part(2), "late", F.col("op") == "d")
+    return kept
+
+
+MIRROR = ["user_id", "event_type", "value", "txid as ver", "lsn"]
+MIRROR_SQL = "r as (select *, row_number() over (partition by user_id order by txid desc, lsn desc) rn from {rows}) select user_id, event_type, value, txid as ver, lsn from r where rn = 1 and op <> 'd'"
+
+
+@query("{wal}, " + MIRROR_SQL.replace("{rows}", "wal"))
+def q58_mirror_kept(spark, sf):
+    """A mirror that batches are added to, compacted on the way, holds what the whole history gives."""
+    return kept_mirror_of_parts(spark, sf, PARTS).read().selectExpr(*MIRROR)
+
+
+@query("{wal}, p as (" + PART_SQL + "), " + MIRROR_SQL.replace("{rows}", "p where part < 2"))
+def q59_mirror_as_of(spark, sf):
+    """The same mirror as it was after its second batch, read when later ones and a compaction are there."""
+    return kept_mirror_of_parts(spark, sf, PARTS).read(version=2).selectExpr(*MIRROR)
+
+
+@query("{wal}, " + MIRROR_SQL.replace("{rows}", "wal") + " and user_id in (select c_custkey from customer where c_custkey % 20 = 3)")
+def q60_mirror_lookup(spark, sf):
+    """Rows of some keys, out of the files of their buckets alone."""
+    keys = table(spark, sf, "customer").where("c_custkey % 20 = 3").select(F.col("c_custkey").alias("user_id"))
+    return kept_mirror_of_parts(spark, sf, PARTS).lookup(keys).selectExpr(*MIRROR)

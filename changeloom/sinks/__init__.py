@@ -9,6 +9,8 @@ from typing import Any, Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeloom.operators.kept_mirror import KeptMirror
+from changeloom.operators.mirror import from_records
 from changeloom.operators.publish import record_bytes, split_oversized
 from changeloom.operators.scale import shared_path
 
@@ -82,6 +84,18 @@ class RetryingSink:
                 wait = min(self.most, 2 * wait)
 
 
+class MirrorSink:
+    """Change records straight into a kept mirror of one table: fields (name -> type) of those on its topic, deletions as
+    such. A batch that is written again is there once."""
+
+    def __init__(self, mirror: KeptMirror, topic: str, fields: dict[str, str], defaults: dict[str, object] | None = None):
+        self.mirror, self.topic, self.fields, self.defaults = mirror, topic, fields, defaults
+
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
+        rows = from_records(records.where(F.col("topic") == self.topic), self.fields, self.mirror.key, self.defaults)
+        self.mirror.apply(rows, batch_id if batch_id is not None and not part else batch_name(batch_id, part), F.col("op") == "d")
+
+
 class KafkaSink:
     """Spark's Kafka writer; needs its connector on the class path. Spark retries tasks, so records may repeat."""
 
