@@ -63,3 +63,30 @@ def running_sum(df: DataFrame, value: Column, name: str, by: Sequence[str], orde
     within = F.sum("_value").over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
     rows = marked.withColumn("_within", within)
     return joined(rows, bases, keys).withColumn(name, F.col("_within") + F.col("_base")).drop("_value", "_stretch", "_within", "_base")
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], place: str) -> DataFrame:
+    """df, stored by ranges of an order, with the column place: the number of a row's range (shifted left by 33 bits) and
+    its place there, from 0. Rows that tie are told apart by a hash of the whole row, and equal rows by where they came
+    from, so a value in most of the rows is dealt out over ranges like any other. Null comes last."""
+    rest = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind and "void" not in kind]
+    rows = df.withColumn("_tie_hash", F.xxhash64(*rest) if rest else F.lit(0)).withColumn("_tie", F.monotonically_increasing_id())
+    keys = [*[F.col(f"`{c}`").asc_nulls_last() for c in order], F.col("_tie_hash").asc(), F.col("_tie").asc()]
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie_hash", "_tie")
+    return stored(ranged.withColumn(place, F.monotonically_increasing_id()), "ranges")
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """df with the column name: each row's number in the order of some columns of any types, from 1. Null comes last.
+
+    Rows are dealt out by in_ranges(); a row for each range then tells how many come before it, so no task sees all rows.
+    Which of equal rows gets which number makes no difference.
+    """
+    place = f"_{name}_place"
+    rows, part = in_ranges(df, order, place), F.shiftright(F.col(place), 33)
+    sizes = rows.groupBy(part.alias("_range")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = F.broadcast(sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before")))  # a row for each range
+    within = F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.join(sizes, part == F.col("_range"))
+    return rows.withColumn(name, (F.col("_before") + within + 1).cast("long")).drop("_range", "_before", place)

@@ -607,3 +607,34 @@ def q60_mirror_lookup(spark, sf):
     """Rows of some keys, out of the files of their buckets alone."""
     keys = table(spark, sf, "customer").where("c_custkey % 20 = 3").select(F.col("c_custkey").alias("user_id"))
     return kept_mirror_of_parts(spark, sf, PARTS).lookup(keys).selectExpr(*MIRROR)
+
+
+@query("select conv_id, turn, ((row_number() over (order by conv_id, turn) - 1) // 100)::bigint page from conversations")
+def q61_pages_two_columns(spark, sf):
+    return snap.pages(table(spark, sf, "conversations").select("conv_id", "turn"), ["conv_id", "turn"], 100).select("conv_id", "turn", "page")
+
+
+@query("select p_name, p_partkey, ((row_number() over (order by p_name, p_partkey) - 1) // 64)::bigint page from part")
+def q62_pages_text_key(spark, sf):
+    return snap.pages(table(spark, sf, "part"), ["p_name", "p_partkey"], 64).select("p_name", "p_partkey", "page")
+
+
+@query(r"""with k as (select regexp_replace(md5(o_orderkey::varchar), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') id from orders),
+p as (select id, (row_number() over (order by id) - 1) // 500 page from k)
+select page::bigint page, min(id) first_id, max(id) last_id, count(*) n from p group by page""")
+def q63_page_bounds_uuid(spark, sf):
+    """First and last key of each page of a table whose key is a UUID."""
+    rows = table(spark, sf, "orders").select(pgtypes.uuid_text(F.unhex(F.md5(F.col("o_orderkey").cast("string")))).alias("id"))
+    bounds = snap.page_bounds(snap.pages(rows, ["id"], 500), ["id"])
+    return bounds.select("page", F.col("first.id").alias("first_id"), F.col("last.id").alias("last_id"), "n")
+
+
+@query("""with p as (select c_mktsegment seg, c_custkey k, row_number() over (order by c_mktsegment, c_custkey) rn, count(*) over () n from customer)
+select k c_custkey, seg from p where rn > n // 3""")
+def q64_snapshot_resumed(spark, sf):
+    """A snapshot that stopped after a third of its rows goes on after the last key that it had."""
+    rows, key = table(spark, sf, "customer"), ["c_mktsegment", "c_custkey"]
+    stop = rows.count() // 3
+    at = scale.numbered(rows.select(*key), key, "rn").where(F.col("rn") == stop).first()
+    rest = rows if at is None else snap.rest_from(rows, key, [at[k] for k in key])
+    return rest.select("c_custkey", F.col("c_mktsegment").alias("seg"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, DataType, StructField
 
 from changeloom.functions.names import quoted_name, schema_of, table_of
 from changeloom.functions.pgtypes import normalised
 from changeloom.model import COLUMN
+from changeloom.operators.scale import numbered
 
 #: Type numbers of the database for Spark's types; text for others.
 TYPE_OIDS = {"boolean": 16, "binary": 17, "bigint": 20, "smallint": 21, "int": 23, "string": 25, "float": 700, "double": 701, "date": 1082, "timestamp_ntz": 1114, "timestamp": 1184}
@@ -73,19 +74,32 @@ def snapshots(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], as_of: date
     return out
 
 
-def pages(table: DataFrame, pk: Sequence[str], size: int, width: int = 100_000) -> DataFrame:
-    """table with page, from 0, of size rows in the order of an integer pk.
-
-    Rows are numbered within stretches of the first key column, and a row for each stretch carries what lies before
-    it, so no task numbers the whole table.
-    """
-    first = pk[0]
-    rows = table.withColumn("_stretch", F.floor(F.col(first) / width))
-    counts = rows.groupBy("_stretch").agg(F.count("*").alias("_n"))
-    counts = counts.select("_stretch", F.coalesce(F.sum("_n").over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    number = F.row_number().over(Window.partitionBy("_stretch").orderBy(*pk))
-    rows = rows.withColumn("_number", number).join(counts, "_stretch")
-    return rows.withColumn("page", F.floor((F.col("_number") + F.col("_before") - 1) / size).cast("bigint")).drop("_stretch", "_number", "_before")
+def pages(table: DataFrame, pk: Sequence[str], size: int) -> DataFrame:
+    """table with page, from 0, of size rows in the order of a key of any columns and types; the last may have fewer.
+    Without a key the order is that of a hash of the rows. Null comes after all values; rows that tie on the key stand in the
+    order of their hash, so one key in most of the rows still makes pages, of several tasks."""
+    return numbered(table, pk, "page").withColumn("page", F.floor((F.col("page") - 1) / size).cast("bigint"))
+
+
+def page_bounds(paged: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """Of pages(): page, first and last (structs of the key) and n rows of each. A reader that has lost its cursor fetches
+    a page, or the rest from it on, by these."""
+    key = F.struct(*[F.col(f"`{c}`") for c in pk])
+    order = F.struct(*[x for c in pk for x in (F.col(f"`{c}`").isNull().alias(f"{c} null"), F.col(f"`{c}`"))])  # null last
+    return paged.groupBy("page").agg(F.min_by(key, order).alias("first"), F.max_by(key, order).alias("last"), F.count("*").alias("n"))
+
+
+def rest_from(table: DataFrame, pk: Sequence[str], after: Sequence[object]) -> DataFrame:
+    """Rows whose key comes after a key, null last: what a snapshot that stopped there has still to read. Comparisons with
+    the first column alone reach the scan."""
+    later, same = F.lit(False), F.lit(True)
+    for c, value in zip(pk, after, strict=True):
+        own = F.col(f"`{c}`")
+        if value is not None:
+            later = later | (same & (own.isNull() | (own > F.lit(value))))
+        same = same & own.eqNullSafe(F.lit(value))
+    first = F.col(f"`{pk[0]}`")
+    return table.where(later) if after[0] is None else table.where(first.isNull() | (first >= F.lit(after[0]))).where(later)
 
 
 def read_table(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8, fetch_size: int = 10_000) -> DataFrame:
