@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import json
 from collections.abc import Mapping, Sequence
 from typing import Any
@@ -48,14 +49,29 @@ def readiness(query: Any, read_lsn: int = 0, checkpoint_lsn: int = 0) -> dict[st
     return {"ready": ready, "status": 200 if ready else 503, "last_read_lsn": read_lsn, "last_checkpoint_lsn": checkpoint_lsn, "lag_bytes": max(0, read_lsn - checkpoint_lsn), "progress": query.lastProgress if query is not None else None}
 
 
+def offset(text: Any) -> dict[str, Any]:
+    """An offset out of a query's progress: a dict, or its text as Spark or PySpark prints it; others are empty."""
+    if isinstance(text, str):
+        try:
+            text = json.loads(text)
+        except ValueError:
+            text = ast.literal_eval(text) if text.startswith("{") else None
+    return text if isinstance(text, dict) else {}
+
+
+def behind(progress: Mapping[str, Any], what: str) -> int:
+    """Of a query's progress: what its capture sources say of what waits behind the offset that they gave out."""
+    return sum(offset(source.get("endOffset")).get(what, 0) for source in progress.get("sources") or [])
+
+
 def queue_depth(progress: Mapping[str, Any]) -> int:
-    """Of a query's progress: files that its capture sources have and haven't given out yet."""
-    depth = 0
-    for source in progress.get("sources") or []:
-        ends = [json.loads(x) if isinstance(x, str) else x for x in (source.get("latestOffset"), source.get("endOffset"))]
-        if all(isinstance(x, dict) and "number" in x for x in ends):
-            depth += max(0, ends[0]["number"] - ends[1]["number"])
-    return depth
+    """Capture files that a bounded stream hasn't given out, or not to their end."""
+    return behind(progress, "behind_files")
+
+
+def last_read_lsn(progress: Mapping[str, Any]) -> int:
+    """The end of the log data that capture sources have given out: a message's position and its length."""
+    return behind(progress, "lsn")
 
 
 def listener() -> Any:

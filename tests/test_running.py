@@ -230,7 +230,7 @@ def test_flush_interval_and_queue_depth(tmp_path):
     assert manager.flush()
     manager.confirm(6)
     assert not manager.flush() and manager.flush(force=True) and manager.flushed == 6
-    assert metrics.queue_depth({"sources": [{"latestOffset": '{"file":"z","number":9}', "endOffset": {"file": "b", "number": 4}}, {"endOffset": "3"}]}) == 5
+    assert metrics.queue_depth({"sources": [{"endOffset": '{"behind_files":4}'}, {"endOffset": {"behind_files": 1}}, {"endOffset": "3"}]}) == 5
     assert metrics.readiness(None, 0x200, 0x100)["lag_bytes"] == 256 and metrics.readiness(None)["status"] == 503
 
 
