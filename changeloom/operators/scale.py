@@ -53,16 +53,17 @@ def running_sum(df: DataFrame, value: Column, name: str, by: Sequence[str], orde
     """df with the column name: the sum of value up to each row, by the integer column order, within by.
 
     Rows are summed in stretches of width of the order; only a row for each stretch meets in the window that adds up
-    what lies before it. Rows that tie in the order get the sum with all of them. A null in by is a value like any other.
+    what lies before it. Rows that tie in the order get the sum with all of them. A null in by is a value like any other:
+    keys are compared as one struct, in which null equals null, and rows are dealt out once for the window and the join.
     """
-    marked = df.withColumn("_value", value).withColumn("_stretch", F.floor(F.col(order) / width))
-    keys = [*by, "_stretch"]
+    keys = ["_by", "_stretch"]
+    marked = df.withColumns({"_by": F.struct(*by) if by else F.struct(F.lit(0)), "_stretch": F.floor(F.col(order) / width), "_value": value})
     sums = marked.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    before = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_by").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     within = F.sum("_value").over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
     rows = marked.withColumn("_within", within)
-    return joined(rows, bases, keys).withColumn(name, F.col("_within") + F.col("_base")).drop("_value", "_stretch", "_within", "_base")
+    return rows.join(bases, keys).withColumn(name, F.col("_within") + F.col("_base")).drop("_by", "_value", "_stretch", "_within", "_base")
 
 
 def in_ranges(df: DataFrame, order: Sequence[str], place: str) -> DataFrame:
