@@ -15,6 +15,7 @@ from changeloom.model import VALUE
 from changeloom.operators import assemble, envelope, metrics, mirror, progress, publish, scale
 from changeloom.operators.kept_mirror import KeptMirror
 from changeloom.plans import log
+from changeloom.sinks import FileSink, batch_name
 from changeloom.sources import snapshot as snap
 from changeloom.sources import wal
 from changeloom.streaming import windows
@@ -638,3 +639,28 @@ def q64_snapshot_resumed(spark, sf):
     at = scale.numbered(rows.select(*key), key, "rn").where(F.col("rn") == stop).first()
     rest = rows if at is None else snap.rest_from(rows, key, [at[k] for k in key])
     return rest.select("c_custkey", F.col("c_mktsegment").alias("seg"))
+
+
+@query(SIZED + f""", t as (select txid, sum(bytes) n, max(lsn) last from b group by txid),
+s as (select 'events' slot, txid, last + 8 lsn, n <= {OVERSIZED} and (last // 64) % 997 = 996 as waits from t
+  union all select 'audit', txid, last + 8, n <= {OVERSIZED} and txid % 331 = 330 from t where txid % 2 = 0),
+f as (select slot, min(txid) filter (waits) stop from s group by slot)
+select slot, coalesce(max(lsn) filter (stop is null or txid < stop), 0)::bigint lsn, count(*) filter (stop is null or txid < stop) n, count(*) filter (txid >= stop) "open" from s join f using (slot) group by slot""")
+def q65_slot_frontier(spark, sf):
+    """Two slots of which some transactions aren't acknowledged, and those that are too large needn't be."""
+    rows = messages(spark, sf)
+    other = rows.where((F.col("msg") == "R") | ((F.floor(F.col("seq") / 8) - 1) % 2 == 0)).withColumn("slot", F.lit("audit"))
+    got = assemble.assemble(rows.unionByName(other), OVERSIZED).transactions
+    acked = F.when(F.col("slot") == "audit", F.col("xid") % 331 != 330).otherwise(F.floor((F.col("commit_lsn") - 8) / 64) % 997 != 996)
+    return progress.frontier(got, got.select("slot", "tx_no", acked.alias("acked")))
+
+
+@query("{wal} select event_type topic, (seq % 4)::varchar batch, count(*) n, sum(strlen(props))::bigint bytes from wal group by all")
+def q66_file_batches(spark, sf):
+    """Batches of files, one of them written twice and one by a writer that was lost before its commit."""
+    records = changes(spark, sf).select("seq", F.col("event_type").alias("topic"), F.col("user_id").cast("string").alias("key"), F.col("props").alias("value"))
+    sink = FileSink(scale.shared_path(spark, "batches"))
+    sink.save(records, "records", batch_name(0, ""), "lost", True)
+    for k in (0, 1, 2, 3, 1):
+        sink.write(records.where(F.col("seq") % 4 == k).drop("seq"), k)
+    return sink.read(spark).groupBy("topic", F.col("batch").cast("int").cast("string").alias("batch")).agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).cast("bigint").alias("bytes"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
+from changeloom.operators.commits import Folder
 from changeloom.operators.kept_mirror import KeptMirror
 from changeloom.operators.mirror import from_records
 from changeloom.operators.publish import record_bytes, split_oversized
@@ -28,24 +32,67 @@ def batch_name(batch_id: int | None, part: str) -> str:
 
 
 class FileSink:
-    """Parquet or JSON files, a folder for each topic and batch. Writing a batch again replaces it, so each batch is
-    there once however often it was tried. Records beyond max_message_bytes go to the folder quarantine instead."""
+    """Parquet or JSON files by batch, try and topic, and a commit for each batch that names the try that counts.
+
+    A try writes a folder of its own; then the commit is moved into place at once. So readers, who go by commits, see a
+    batch whole or not at all, writing it again replaces it, and what a lost writer left is never seen. Records beyond
+    max_message_bytes are in the folder quarantine instead, under the same commit.
+    """
 
     def __init__(self, path: str, file_format: str = "parquet", max_message_bytes: int = 0, records_per_file: int = 0):
-        self.path, self.format, self.most, self.per_file = path, file_format, max_message_bytes, records_per_file
+        self.path, self.format, self.most, self.per_file = path.rstrip("/"), file_format, max_message_bytes, records_per_file
 
-    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
-        name = batch_name(batch_id, part)
-        if self.most > 0:
-            records, large = split_oversized(records, record_bytes(F.col("key"), F.col("value")), self.most)
-            large.write.mode("overwrite").format(self.format).save(f"{self.path}/quarantine/batch={name}")
-        writer = records.write.mode("overwrite").partitionBy("topic").format(self.format)
+    def folder(self, spark: Any) -> Folder:
+        return Folder(spark, self.path)
+
+    def save(self, records: DataFrame, kind: str, name: str, attempt: str, by_topic: bool) -> dict[str, Any]:
+        place = f"{kind}/batch={name}/try={attempt}"
+        writer = records.write.format(self.format)
+        writer = writer.partitionBy("topic") if by_topic else writer
         if self.per_file > 0:
             writer = writer.option("maxRecordsPerFile", self.per_file)
-        writer.save(f"{self.path}/records/batch={name}")
+        writer.save(f"{self.path}/{place}")
+        there = self.folder(records.sparkSession).names(place)
+        return {"place": place, "schema": records.schema.json(), "empty": not any(not n.startswith(("_", ".")) for n in there)}
 
-    def read(self, spark: Any) -> DataFrame:
-        return spark.read.format(self.format).load(f"{self.path}/records")
+    def write(self, records: DataFrame, batch_id: int | None = None, part: str = "") -> None:
+        name, attempt, made = batch_name(batch_id, part), uuid.uuid4().hex, {}
+        if self.most > 0:
+            records, large = split_oversized(records, record_bytes(F.col("key"), F.col("value")), self.most)
+            made["quarantine"] = self.save(large, "quarantine", name, attempt, False)
+        made["records"] = self.save(records, "records", name, attempt, True)
+        self.commit(records.sparkSession, name, made)
+
+    def commit(self, spark: Any, name: str, made: dict[str, Any]) -> None:
+        self.folder(spark).put(f"_batches/{name}.json", json.dumps(made, sort_keys=True), replace=True)
+
+    def committed(self, spark: Any) -> dict[str, dict[str, Any]]:
+        folder = self.folder(spark)
+        return {n.removesuffix(".json"): json.loads(folder.read(f"_batches/{n}")) for n in folder.names("_batches") if n.endswith(".json")}
+
+    def read(self, spark: Any, kind: str = "records") -> DataFrame:
+        """All records of the batches that are committed now, with their batch and topic; later ones don't show up in it."""
+        parts = [x for made in self.committed(spark).values() if (x := made.get(kind)) and not x["empty"]]
+        if not parts:
+            return spark.createDataFrame([], "key string, value string, batch string, topic string")
+        by_schema: dict[str, list[str]] = {}
+        for p in parts:
+            by_schema.setdefault(p["schema"], []).append(f"{self.path}/{p['place']}")
+        out = None
+        for text, places in by_schema.items():  # few: snapshots, the log, heartbeats
+            schema = StructType.fromJson(json.loads(text)).add("batch", StringType()).add("try", StringType())
+            one = spark.read.schema(schema).format(self.format).option("basePath", f"{self.path}/{kind}").load(places).drop("try")
+            out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+        return out
+
+    def clean(self, spark: Any) -> list[str]:
+        """Removes the tries that no commit names; no writer may run meanwhile. Returns their folders."""
+        folder, used = self.folder(spark), {x["place"] for made in self.committed(spark).values() for x in made.values()}
+        tries = [f"{kind}/{b}/{t}" for kind in ("records", "quarantine") for b in folder.names(kind) if b.startswith("batch=") for t in folder.names(f"{kind}/{b}") if t.startswith("try=")]
+        gone = [t for t in tries if t not in used]
+        for t in gone:
+            folder.remove(t)
+        return gone
 
 
 class MemorySink:

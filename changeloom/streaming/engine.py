@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.config import Settings
 from changeloom.operators.envelope import Output, change_records, envelopes, heartbeats, markers, ordered
-from changeloom.operators.progress import FileProgress, Manager
+from changeloom.operators.progress import Manager, SharedProgress
 from changeloom.sinks import KafkaSink, RetryingSink, Sink
 from changeloom.sources import snapshot
 from changeloom.streaming.transactions import stream_changes
@@ -36,7 +36,8 @@ class OutsideChanges(RuntimeError):
 def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail") -> StreamingQuery:
     """Start the pipeline. A batch is written under its number, so a sink that replaces by number has it once however
     often it is tried; progress is confirmed only after the write, and batches run one after another, so a position
-    is never ahead of what is durable.
+    is never ahead of what is durable. Each slot has its own, which every transaction moves on that ended, also one
+    that has no changes or is too large to be published.
 
     Changes outside of transactions stop the query before anything of their batch is written or confirmed, or go to
     the part "outside" of the sink, as records of their position, where outside is "quarantine".
@@ -45,7 +46,7 @@ def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output()
     def publish(changes: DataFrame, batch_id: int) -> None:
         changes = changes.persist()
         try:
-            stray, events = changes.where("outside"), changes.where("not outside").drop("outside")
+            stray, events = changes.where("outside"), changes.where("not outside and not commit").drop("outside", "commit")
             if n := stray.count():
                 if outside != "quarantine":
                     first = stray.orderBy("slot", "seq").first()
@@ -54,9 +55,8 @@ def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output()
                 sink.write(stray.select(F.lit("outside").alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")), batch_id, "outside")
             sink.write(records_of(events, out), batch_id)
             if progress is not None:
-                top = events.agg(F.max("commit_lsn")).first()[0]
-                if top is not None:
-                    progress.confirm(top)
+                for r in changes.where("commit").groupBy("slot").agg(F.max("commit_lsn").alias("lsn")).collect():  # a row for each slot
+                    progress.confirm(r["lsn"], r["slot"] or "")
                 progress.flush(force=once)
         finally:
             changes.unpersist()
@@ -91,7 +91,7 @@ def start(spark: SparkSession, settings: Settings, messages: DataFrame, checkpoi
     b, out = settings.redpanda, settings.output()
     if sink is None:
         sink = RetryingSink(KafkaSink(b.brokers, b.compression, b.required_acks, b.linger_ms, b.enable_idempotence, b.max_inflight, settings.tuning.producer_batch_max_bytes))
-    progress = Manager(FileProgress(settings.checkpoint.file_path), settings.checkpoint.flush_interval)
+    progress = Manager(SharedProgress(spark, settings.checkpoint.file_path), settings.checkpoint.flush_interval)
     if settings.snapshot.mode == "initial" and progress.flushed == 0:
         wanted = {n: t for n, t in (tables or {}).items() if not settings.snapshot.tables or n in settings.snapshot.tables}
         take_snapshot(wanted, sink, out)

@@ -16,7 +16,7 @@ from changeloom.model import CELL, CHANGE_MESSAGES, RELATION
 
 #: The state store that such processors need.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-EVENT = "slot string, seq bigint, tx_no bigint, xid bigint, op string, rel_id bigint, rel string, before string, after string, event_lsn bigint, commit_us bigint, commit_lsn bigint, ordinal int, bytes bigint, outside boolean"
+EVENT = "slot string, seq bigint, tx_no bigint, xid bigint, op string, rel_id bigint, rel string, before string, after string, event_lsn bigint, commit_us bigint, commit_lsn bigint, ordinal int, bytes bigint, outside boolean, commit boolean"
 
 
 def cells_bytes(cells: str | None, columns: list[dict[str, Any]] | None) -> int:
@@ -31,8 +31,10 @@ def cells_bytes(cells: str | None, columns: list[dict[str, Any]] | None) -> int:
 
 class Assembler(StatefulProcessor):
     """Per slot: the open transaction, its changes so far, and the newest version of each relation. A begin discards
-    what is open, a commit emits it, a transaction beyond max_tx_bytes is dropped. Changes outside of one come out at once,
-    marked as such and without a transaction's fields."""
+    what is open, a commit emits it, a transaction beyond max_tx_bytes is dropped. Each commit that ends a transaction comes
+    out as a row of its own, also of one that is empty or dropped: with the sum of its bytes, and ordinal -1 if it was
+    dropped, else the number of its changes. Changes outside of one come out at once, marked as such and without a
+    transaction's fields."""
 
     def __init__(self, max_tx_bytes: int):
         self.most = max_tx_bytes
@@ -66,10 +68,12 @@ class Assembler(StatefulProcessor):
                 self.changes.clear()
                 held, tx_no, xid, commit_us, n, size, inside = [], tx_no + 1, int(m.xid), int(m.commit_us), 0, 0, True
             elif m.msg == "C" and inside:
-                if self.most <= 0 or size <= self.most:
+                fits = self.most <= 0 or size <= self.most
+                if fits:
                     before = [tuple(c) for c in self.changes.get()] if n > len(held) else []
                     for k, (seq, op, rel_id, rel, old, new, lsn, bytes_) in enumerate([*before, *held], 1):
-                        out.append((key[0], seq, tx_no, xid, op, rel_id, rel, old, new, lsn, commit_us, int(m.lsn), k, bytes_, False))
+                        out.append((key[0], seq, tx_no, xid, op, rel_id, rel, old, new, lsn, commit_us, int(m.lsn), k, bytes_, False, False))
+                out.append((key[0], int(m.seq), tx_no, xid, None, None, None, None, None, int(m.wal_start), commit_us, int(m.lsn), n if fits else -1, size, False, True))
                 self.changes.clear()
                 held, n, size, inside = [], 0, 0, False
             elif m.msg in CHANGE_MESSAGES and inside:
@@ -81,13 +85,13 @@ class Assembler(StatefulProcessor):
                     held.append((int(m.seq), CHANGE_MESSAGES[m.msg], rel_id, rel, m.before, m.after, int(m.wal_start), bytes_))
                     n += 1
             elif m.msg in CHANGE_MESSAGES:
-                out.append((key[0], int(m.seq), None, None, CHANGE_MESSAGES[m.msg], int(m.rel_id), relation(int(m.rel_id))[0], m.before, m.after, int(m.wal_start), None, None, None, None, True))
+                out.append((key[0], int(m.seq), None, None, CHANGE_MESSAGES[m.msg], int(m.rel_id), relation(int(m.rel_id))[0], m.before, m.after, int(m.wal_start), None, None, None, None, True, False))
         if held:
             self.changes.appendList(held)
         self.open.update((tx_no, xid, commit_us, n, size, inside))
         if out:
             made = pd.DataFrame(out, columns=[c.split()[0] for c in EVENT.split(", ")])
-            yield made.astype({c: "Int64" for c in ("tx_no", "xid", "commit_us", "commit_lsn", "bytes")} | {"ordinal": "Int32"})
+            yield made.astype({c: "Int64" for c in ("tx_no", "xid", "rel_id", "commit_us", "commit_lsn", "bytes")} | {"ordinal": "Int32"})
 
     def close(self) -> None:
         pass
@@ -95,11 +99,12 @@ class Assembler(StatefulProcessor):
 
 def stream_events(messages: DataFrame, max_tx_bytes: int = 64 << 20) -> DataFrame:
     """assemble().events of a stream of messages, in the batch in which their commit arrives."""
-    return stream_changes(messages, max_tx_bytes).where("not outside").drop("outside")
+    return stream_changes(messages, max_tx_bytes).where("not outside and not commit").drop("outside", "commit")
 
 
 def stream_changes(messages: DataFrame, max_tx_bytes: int = 64 << 20) -> DataFrame:
-    """stream_events(), and with outside true the changes that stand in no transaction. Messages of a slot must arrive
+    """stream_events(), with outside true the changes that stand in no transaction, and with commit true a row for each
+    transaction that ended: ordinal has its changes, -1 if it was too large. Messages of a slot must arrive
     in order from batch to batch; within a batch they are sorted, so what a trigger takes in of one slot should fit in
     a task's memory. The session needs STATE_STORE."""
     text = lambda c: F.when(F.col(c).isNotNull(), F.to_json(c)).alias(c)
