@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.config import Settings
+from changeloom.functions.cells import decoded
+from changeloom.operators.assemble import with_relation
 from changeloom.operators.envelope import Output, change_records, envelopes, heartbeats, markers, ordered
 from changeloom.operators.progress import Manager, SharedProgress
+from changeloom.operators.scale import joined
 from changeloom.sinks import KafkaSink, RetryingSink, Sink
 from changeloom.sources import snapshot
+from changeloom.streaming.stretches import Stretches
 from changeloom.streaming.transactions import stream_changes
 
 
@@ -33,7 +37,27 @@ class OutsideChanges(RuntimeError):
     """The stream has changes that stand in no transaction."""
 
 
-def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail") -> StreamingQuery:
+def confirm(progress: Manager | None, ended: DataFrame, force: bool) -> None:
+    """Moves each slot's position on to the last of its transactions that ended, and flushes."""
+    if progress is None:
+        return
+    for r in ended.groupBy("slot").agg(F.max("commit_lsn").alias("lsn")).collect():  # a row for each slot
+        progress.confirm(r["lsn"], r["slot"] or "")
+    progress.flush(force=force)
+
+
+def write_outside(stray: DataFrame, sink: Sink, batch_id: int, outside: str) -> None:
+    """Changes outside of transactions are an error, or go to a part of their own where outside is "quarantine"."""
+    if not (n := stray.count()):
+        return
+    if outside != "quarantine":
+        first = stray.orderBy("slot", "seq").first()
+        raise OutsideChanges(f"{n} changes outside of transactions, the first at {first['event_lsn']} of slot {first['slot']}")
+    value = F.to_json(F.struct("slot", "seq", "op", "rel_id", F.col("event_lsn").alias("position"), "before", "after"))
+    sink.write(stray.select(F.lit("outside").alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")), batch_id, "outside")
+
+
+def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail", stretches: str | None = None) -> StreamingQuery:
     """Start the pipeline. A batch is written under its number, so a sink that replaces by number has it once however
     often it is tried; progress is confirmed only after the write, and batches run one after another, so a position
     is never ahead of what is durable. Each slot has its own, which every transaction moves on that ended, also one
@@ -41,27 +65,39 @@ def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output()
 
     Changes outside of transactions stop the query before anything of their batch is written or confirmed, or go to
     the part "outside" of the sink, as records of their position, where outside is "quarantine".
+
+    Transactions are assembled by a state machine for each slot, in a task of its own. With stretches, a shared folder, each
+    batch is assembled as a table instead, by as many tasks as it has stretches of positions, and the folder holds
+    what is open between batches: for few slots with much traffic.
     """
 
     def publish(changes: DataFrame, batch_id: int) -> None:
         changes = changes.persist()
         try:
-            stray, events = changes.where("outside"), changes.where("not outside and not commit").drop("outside", "commit")
-            if n := stray.count():
-                if outside != "quarantine":
-                    first = stray.orderBy("slot", "seq").first()
-                    raise OutsideChanges(f"{n} changes outside of transactions, the first at {first['event_lsn']} of slot {first['slot']}")
-                value = F.to_json(F.struct("slot", "seq", "op", "rel_id", F.col("event_lsn").alias("position"), "before", "after"))
-                sink.write(stray.select(F.lit("outside").alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")), batch_id, "outside")
-            sink.write(records_of(events, out), batch_id)
-            if progress is not None:
-                for r in changes.where("commit").groupBy("slot").agg(F.max("commit_lsn").alias("lsn")).collect():  # a row for each slot
-                    progress.confirm(r["lsn"], r["slot"] or "")
-                progress.flush(force=once)
+            write_outside(changes.where("outside"), sink, batch_id, outside)
+            sink.write(records_of(changes.where("not outside and not commit").drop("outside", "commit"), out), batch_id)
+            confirm(progress, changes.where("commit"), once)
         finally:
             changes.unpersist()
 
-    writer = stream_changes(messages, max_tx_bytes).writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    def publish_stretches(part: DataFrame, batch_id: int) -> None:
+        part = part.persist()
+        try:
+            ends = Stretches(part.sparkSession, stretches, max_tx_bytes)
+            got, rows, state = ends.step(part, batch_id)
+            stray = got.outside.select("slot", "seq").distinct()
+            if stray.limit(1).count():
+                known = joined(rows, stray, ["slot", "seq"], "left_semi")
+                op = F.when(F.col("msg") == "I", "c").when(F.col("msg") == "U", "u").otherwise("d")
+                write_outside(with_relation(known, rows).withColumns({side: decoded(F.col(side), F.col("rel.columns")) for side in ("before", "after")}).withColumns({"op": op, "event_lsn": F.col("wal_start")}), sink, batch_id, outside)
+            sink.write(records_of(got.events, out), batch_id)
+            ends.commit(batch_id, state)
+            confirm(progress, got.transactions, once)
+        finally:
+            part.unpersist()
+
+    started = messages.writeStream.foreachBatch(publish_stretches) if stretches else stream_changes(messages, max_tx_bytes).writeStream.foreachBatch(publish)
+    writer = started.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
