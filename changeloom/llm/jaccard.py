@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from changeloom.llm import encoding
 from changeloom.llm.components import components
 from changeloom.llm.phrases import mixed
-from changeloom.llm.text import ship, small_side, stored, tidy
+from changeloom.llm.text import ship, small_batches, small_side, stored, tidy
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -543,6 +543,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeat an id are one node of the graph. Other columns are ignored.
     """
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     survey = stored(surveyed(source, width), "survey")

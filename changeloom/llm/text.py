@@ -13,7 +13,7 @@ from changeloom.functions.cells import let
 from changeloom.llm.encoding import release
 from changeloom.operators.scale import shared_path, stored
 
-__all__ = ["ascii_lower", "hash128", "let", "shared_path", "ship", "small_side", "stored", "tidy"]
+__all__ = ["ascii_lower", "hash128", "let", "shared_path", "ship", "small_batches", "small_side", "stored", "tidy"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators of words: space and the control characters tab to carriage return.
@@ -41,6 +41,7 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
 
 #: Spark's own number of rows in a batch for Python, and the one that texts take: 10,000 of them may be gigabytes.
 ARROW_ROWS, SPARK_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "500"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 2 << 20  # of a batch that Python returns; the JVM holds it outside its heap
 
 
@@ -57,6 +58,14 @@ def tidy(made: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     return through
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """From now on a batch for Python has no more than about `most` bytes, where the session has a larger limit: rows of long
+    arrays come in tens of megabytes otherwise, which the JVM holds outside its heap and Python once more."""
+    now = spark.conf.get(ARROW_BYTES, None)
+    if now is None or not now.isdigit() or int(now) > most:
+        spark.conf.set(ARROW_BYTES, str(most))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each Spark application, for tasks that run Python. Where the session
     has Spark's own number of rows in a batch for Python it becomes TEXT_ROWS."""
