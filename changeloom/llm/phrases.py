@@ -74,7 +74,7 @@ def names_of(symbols: np.ndarray, starts: np.ndarray, level: int) -> np.ndarray:
 
 
 def collapsed(symbols: np.ndarray, first: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of one symbol made one symbol, so that neighbours differ; and where texts begin then."""
+    """Runs of one symbol made one symbol, which tells their length, so that neighbours differ; and where texts begin then."""
     new = np.ones(len(symbols), bool)
     new[1:] = symbols[1:] != symbols[:-1]
     new[first] = True
@@ -83,8 +83,9 @@ def collapsed(symbols: np.ndarray, first: np.ndarray, level: int) -> tuple[np.nd
     starts = np.flatnonzero(new)
     runs = np.diff(np.append(starts, len(symbols)))
     out = symbols[starts]
-    if out.dtype == np.uint32:  # code points leave 11 bits for the run; runs beyond 2047 more count alike
-        out = out | np.minimum(runs - 1, 2047).astype(np.uint32) << np.uint32(21)
+    if level == 0:  # code points have 21 bits; the run stands above, in 64 bits where one is too long for the rest of 32
+        kind = np.uint32 if runs.max() <= 2048 else np.uint64
+        out = out.astype(kind) | (runs - 1).astype(kind) << kind(21)
     else:
         out = np.where(runs > 1, mixed(out + runs.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), out)
     return out, np.searchsorted(starts, first)
