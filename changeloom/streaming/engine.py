@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
@@ -15,10 +15,11 @@ from changeloom.config import Settings
 from changeloom.functions.cells import decoded
 from changeloom.operators.assemble import with_relation
 from changeloom.operators.envelope import Output, change_records, envelopes, heartbeats, markers, ordered
+from changeloom.operators.metrics import Registry, listener, watched
 from changeloom.operators.progress import Manager, SharedProgress
 from changeloom.operators.scale import joined
 from changeloom.sinks import KafkaSink, RetryingSink, Sink
-from changeloom.sources import snapshot
+from changeloom.streaming.snapshots import Tables, take
 from changeloom.streaming.stretches import Stretches
 from changeloom.streaming.transactions import stream_changes
 
@@ -57,7 +58,7 @@ def write_outside(stray: DataFrame, sink: Sink, batch_id: int, outside: str) ->
     sink.write(stray.select(F.lit("outside").alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")), batch_id, "outside")
 
 
-def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail", stretches: str | None = None) -> StreamingQuery:
+def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output(), progress: Manager | None = None, max_tx_bytes: int = 64 << 20, once: bool = False, every: str = "1 second", outside: str = "fail", stretches: str | None = None, metrics: Registry | None = None) -> StreamingQuery:
     """Start the pipeline. A batch is written under its number, so a sink that replaces by number has it once however
     often it is tried; progress is confirmed only after the write, and batches run one after another, so a position
     is never ahead of what is durable. Each slot has its own, which every transaction moves on that ended, also one
@@ -69,6 +70,8 @@ def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output()
     Transactions are assembled by a state machine for each slot, in a task of its own. With stretches, a shared folder, each
     batch is assembled as a table instead, by as many tasks as it has stretches of positions, and the folder holds
     what is open between batches: for few slots with much traffic.
+
+    With metrics, the state machine's rows count themselves, and a listener adds what each batch's progress says.
     """
 
     def publish(changes: DataFrame, batch_id: int) -> None:
@@ -96,44 +99,44 @@ def run(messages: DataFrame, sink: Sink, checkpoint: str, out: Output = Output()
         finally:
             part.unpersist()
 
-    started = messages.writeStream.foreachBatch(publish_stretches) if stretches else stream_changes(messages, max_tx_bytes).writeStream.foreachBatch(publish)
+    changes = None if stretches else stream_changes(messages, max_tx_bytes)
+    if metrics is not None:
+        messages.sparkSession.streams.addListener(listener(metrics))
+        changes = None if changes is None else watched(changes)
+    started = messages.writeStream.foreachBatch(publish_stretches) if changes is None else changes.writeStream.foreachBatch(publish)
     writer = started.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-def beat(spark: SparkSession, sink: Sink, checkpoint: str, every: float, out: Output, progress: Manager) -> StreamingQuery:
+def beat(spark: SparkSession, sink: Sink, checkpoint: str, every: float, out: Output, progress: Manager, metrics: Registry | None = None) -> StreamingQuery:
     """A heartbeat record each `every` seconds, with the last flushed position, whether or not anything else comes."""
 
     def publish(ticks: DataFrame, batch_id: int) -> None:
         at = F.lit(datetime.now(timezone.utc))
         spans = ticks.sparkSession.range(1).select(at.alias("start"), at.alias("end"), F.lit(progress.flushed).cast("bigint").alias("lsn"))
         sink.write(heartbeats(spans, "1 day", out).select("topic", "key", "value"), batch_id, "heartbeat")
+        if metrics is not None:
+            metrics.add("heartbeats_total")
+            metrics.put("last_checkpoint_lsn", progress.flushed)
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return ticks.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(processingTime=f"{every} seconds").start()
 
 
-def take_snapshot(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], sink: Sink, out: Output, as_of: datetime | None = None) -> None:
-    """The rows of tables (name -> rows, key columns) as records, before anything of the log."""
-    typed = out.typed != "none"
-    for name, (rows, pk) in tables.items():
-        events = snapshot.snapshot(rows, name, pk, as_of, typed)
-        sink.write(change_records(envelopes(events, out)), None, "" if len(tables) == 1 else f"snapshot-{name}")
-
-
-def start(spark: SparkSession, settings: Settings, messages: DataFrame, checkpoint: str, tables: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None, sink: Sink | None = None, once: bool = False, outside: str = "fail") -> list[StreamingQuery]:
+def start(spark: SparkSession, settings: Settings, messages: DataFrame, checkpoint: str, tables: Tables | None = None, sink: Sink | None = None, once: bool = False, outside: str = "fail", metrics: Registry | None = None) -> list[StreamingQuery]:
     """A pipeline as the settings have it: sink, routing, progress, the initial snapshot where there is no progress yet,
-    heartbeats. Without a sink records go to the brokers. tables holds the rows of the tables to snapshot."""
+    heartbeats. Without a sink records go to the brokers. tables holds the rows of the tables to snapshot, as
+    snapshots.planned() finds them in a catalog, and up to max_parallel_tables of them are written at a time."""
     b, out = settings.redpanda, settings.output()
     if sink is None:
         sink = RetryingSink(KafkaSink(b.brokers, b.compression, b.required_acks, b.linger_ms, b.enable_idempotence, b.max_inflight, settings.tuning.producer_batch_max_bytes))
     progress = Manager(SharedProgress(spark, settings.checkpoint.file_path), settings.checkpoint.flush_interval)
     if settings.snapshot.mode == "initial" and progress.flushed == 0:
         wanted = {n: t for n, t in (tables or {}).items() if not settings.snapshot.tables or n in settings.snapshot.tables}
-        take_snapshot(wanted, sink, out)
-    queries = [run(messages, sink, f"{checkpoint}/log", out, progress, settings.runtime.max_tx_bytes, once, outside=outside)]
+        take(wanted, sink, out, most=settings.snapshot.max_parallel_tables, metrics=metrics)
+    queries = [run(messages, sink, f"{checkpoint}/log", out, progress, settings.runtime.max_tx_bytes, once, outside=outside, metrics=metrics)]
     if settings.replication.heartbeat_interval > 0 and not once:
-        queries.append(beat(spark, sink, f"{checkpoint}/heartbeat", settings.replication.heartbeat_interval, out, progress))
+        queries.append(beat(spark, sink, f"{checkpoint}/heartbeat", settings.replication.heartbeat_interval, out, progress, metrics))
     return queries
 
 
