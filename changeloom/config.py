@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, is_dataclass
 from typing import Any
@@ -172,9 +173,17 @@ def converted(value: Any, like: Any) -> Any:
     return type(like)(value)
 
 
+#: Keys that are read and checked, so that settings of other runners load, but that change nothing: Spark's triggers, checkpoints
+#: and sinks take the place of queues, positions in flight, a client's status messages and creation of topics and slots.
+WITHOUT_EFFECT = (
+    "replication.status_interval", "replication.create_slot_if_missing", "replication.temporary_slot", "redpanda.partitions", "redpanda.replication_factor", "redpanda.max_message_bytes",
+    "runtime.queue_capacity", "runtime.shutdown_timeout", "runtime.checkpoint_limit", "tuning.producer_batch_max_records",
+)
+
+
 def load(values: Mapping[str, Mapping[str, Any]] | None = None, environ: Mapping[str, str] | None = None, prefix: str = "CDC_") -> Settings:
     """Defaults, then values by section and key, then variables PREFIX + SECTION__KEY, which win. Raises one
-    ValueError with every problem."""
+    ValueError with every problem, and warns of each key that is set and changes nothing."""
     out = Settings()
     environ = os.environ if environ is None else environ
     for part in fields(out):
@@ -185,6 +194,8 @@ def load(values: Mapping[str, Mapping[str, Any]] | None = None, environ: Mapping
             value = environ.get(f"{prefix}{part.name}__{key.name}".upper(), given.get(key.name))
             if value is not None:
                 setattr(section, key.name, converted(value, getattr(section, key.name)))
+                if f"{part.name}.{key.name}" in WITHOUT_EFFECT:
+                    warnings.warn(f"{part.name}.{key.name} is ignored", stacklevel=2)
     if problems := out.problems():
         raise ValueError("; ".join(problems))
     return out

@@ -96,3 +96,11 @@ def test_tables_of_a_catalog(spark):
     attributes = spark.createDataFrame([("shop", "orders", 1, "line"), ("shop", "orders", 2, "id"), ("shop", "orders", 3, "at")], "schema string, table string, number int, name string")
     there, gone = snapshots.planned(["shop.orders", "users", "seen", "none.x"], catalog, indexes, attributes, lambda n: n)
     assert there == {"shop.orders": ("shop.orders", ["id", "line"]), "users": ("users", [])} and sorted(gone) == ["none.x", "seen"]
+
+
+def test_settings_without_effect_are_named():
+    with pytest.warns(UserWarning, match="runtime.queue_capacity is ignored"):
+        got = config.load({"postgres": {"user": "u"}, "runtime": {"queue_capacity": 9}}, {})
+    assert got.runtime.queue_capacity == 9
+    sections = {f"{s}.{k}" for s in vars(got) for k in vars(getattr(got, s))}
+    assert set(config.WITHOUT_EFFECT) <= sections
