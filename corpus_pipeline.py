@@ -7,6 +7,7 @@ the last return the columns of documents. Each result is written as Parquet and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeloom.llm import decontaminate, jaccard, mixing, quality, token_io
 from changeloom.llm.text import stored
@@ -16,9 +17,12 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; it learns from the labels of docs that aren't held out."""
+    """Documents that the quality classifier rejects go; it learns from the labels of docs that aren't held out. Columns
+    that are named as the classifier's own stay what they were."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.classify(docs, labels).where("predicted = 1").select(*docs.columns)
+    aside = {c: f"own {c}" for c in docs.columns if c.lower() in ("score", "held_out", "predicted")}
+    judged = quality.classify(docs.withColumnsRenamed(aside), labels).where("predicted = 1")
+    return judged.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

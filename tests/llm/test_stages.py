@@ -68,6 +68,9 @@ def test_documents_that_the_classifier_rejects_go(spark):
     assert got.columns == docs.columns
     assert Counter(map(tuple, got.collect())) == Counter(tuple(r) for r in docs.collect() if r.doc_id in good)
     assert 0 < len(good) < docs.count()
+    own = docs.selectExpr("*", "lang as score", "doc_id as Predicted", "n_chars as held_out")
+    again = corpus_pipeline.keep_quality(spark, own, sf)
+    assert again.columns == own.columns and Counter(map(tuple, again.collect())) == Counter(tuple(r) for r in own.collect() if r.doc_id in good)
     bad = {r.doc_id for r in labels.where("quality = 0").collect()}
     assert len(good & bad) < 0.3 * len(bad)
 
