@@ -98,9 +98,10 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence:
     rule of at least the same confidence go.
 
     Item sets grow as 2 to the power of a basket's items, so baskets first lose what can't change these rules: tokens
-    below the support; all but one of the tokens that the same baskets hold, since they make the same rules; and
-    tokens that only ever come with one verdict. Such a token is a rule by itself, of confidence 1; every other rule
-    with it would narrow that one, or have confidence 0. No labelled rows give no rules.
+    below the support; and all but one of the tokens that the same baskets hold, since they make the same rules. A token
+    that only ever comes with one verdict gets a basket of its own, with that verdict, for each URL that has it: FP-growth
+    finds its rule there, of confidence 1, and every rule of more items with it would narrow that one, or have
+    confidence 0. So all rules come out of FP-growth's frequent sets. No labelled rows give no rules.
     """
     spark = labelled.sparkSession
     baskets = stored(labelled.where((F.size("tokens") > 0) & F.col("verdict").isNotNull()).select("tokens", "verdict", F.monotonically_increasing_id().alias("basket")), "url-baskets")
@@ -109,19 +110,19 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence:
     if n < least:
         return Mined(spark.createDataFrame([], RULE), spark.createDataFrame([], "token string, item string"))
     frequent = stored(frequent_items(baskets, least), "url-items")
-    alone = frequent.where("verdict is not null and token = item").select(F.array("item").alias("items"), "verdict", F.lit(1.0).alias("confidence"), (F.col("uses") / n).alias("support"))
-    open_items = frequent.where("verdict is null").select("token", "item")
-    held = baskets.select("basket", "verdict", F.explode("tokens").alias("token")).join(small_side(open_items, max_broadcast), "token")
-    reduced = held.groupBy("basket", "verdict").agg(F.collect_set("item").alias("items")).select(F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+    known = frequent.where("verdict is null or token = item").select("token", "item", F.when(F.col("verdict").isNotNull(), F.col("item")).alias("alone"))
+    held = baskets.select("basket", "verdict", F.explode("tokens").alias("token")).join(small_side(known, max_broadcast), "token")
+    reduced = held.groupBy("basket", "verdict", "alone").agg(F.collect_set("item").alias("items")).select(F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
     reduced = stored(reduced, "url-reduced")
-    rules, n_reduced = alone, reduced.count()
-    if n_reduced >= least:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_reduced, minConfidence=min_confidence, numPartitions=parts).fit(reduced)
-        is_label = lambda x: x.startswith(LABEL)
-        found = model.associationRules.where(is_label(F.col("consequent")[0]) & ~F.exists("antecedent", is_label))
-        found = found.select(F.sort_array("antecedent").alias("items"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", (F.col("support") * n_reduced / n).alias("support"))
-        rules = alone.unionByName(pruned(stored(found, "url-found")))
+    n_reduced = reduced.count()
+    if n_reduced < least:
+        return Mined(spark.createDataFrame([], RULE), spark.createDataFrame([], "token string, item string"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_reduced, minConfidence=min_confidence, numPartitions=parts).fit(reduced)
+    is_label = lambda x: x.startswith(LABEL)
+    found = model.associationRules.where(is_label(F.col("consequent")[0]) & ~F.exists("antecedent", is_label))
+    found = found.select(F.sort_array("antecedent").alias("items"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", (F.col("support") * n_reduced / n).alias("support"))
+    rules = pruned(stored(found, "url-found"))
     rules = stored(rules, "url-rules")
     return Mined(rules, frequent.select("token", "item").join(rules.select(F.explode("items").alias("item")).distinct(), "item", "left_semi"))
 
