@@ -12,14 +12,14 @@ def decoded(cells: Column, columns: Column) -> Column:
     """Cells with their columns, by place. A cell beyond the columns has the name '' and type 0; with no relation at
     all names are col_0, col_1, ... and every value is null, as nothing says how to read it. Null stays null."""
 
-    def one(cell: Column, i: Column) -> Column:
-        column = F.get(columns, i)
-        name = F.when(columns.isNull(), F.concat(F.lit("col_"), i.cast("string"))).otherwise(F.coalesce(column["name"], F.lit("")))
-        kind = F.when(columns.isNull(), F.lit("n")).otherwise(cell["kind"])
-        text = F.when(kind.isin("n", "u"), F.lit(None)).otherwise(cell["text"])
-        return F.struct(name.alias("name"), F.coalesce(column["type_oid"], F.lit(0).cast("bigint")).alias("type_oid"), kind.alias("kind"), text.alias("text"), F.coalesce(column["is_key"], F.lit(False)).alias("is_key"))
+    def known(cell: Column, i: Column) -> Column:
+        text, column = F.when(cell["kind"].isin("n", "u"), F.lit(None)).otherwise(cell["text"]), F.get(columns, i)
+        return F.struct(F.coalesce(column["name"], F.lit("")).alias("name"), F.coalesce(column["type_oid"], F.lit(0).cast("bigint")).alias("type_oid"), cell["kind"].alias("kind"), text.alias("text"), F.coalesce(column["is_key"], F.lit(False)).alias("is_key"))
 
-    return F.transform(cells, one)
+    def unknown(cell: Column, i: Column) -> Column:
+        return F.struct(F.concat(F.lit("col_"), i.cast("string")).alias("name"), F.lit(0).cast("bigint").alias("type_oid"), F.lit("n").alias("kind"), F.lit(None).cast("string").alias("text"), F.lit(False).alias("is_key"))
+
+    return F.when(columns.isNull(), F.transform(cells, unknown)).otherwise(F.transform(cells, known))
 
 
 def let(value: Column, body) -> Column:
@@ -98,3 +98,12 @@ def tuple_bytes(values: Column) -> Column:
 
 def change_bytes(before: Column, after: Column) -> Column:
     return F.lit(64) + tuple_bytes(before) + tuple_bytes(after)
+
+
+def logged_bytes(before: Column, after: Column, columns: Column) -> Column:
+    """change_bytes() of tuples that aren't decoded."""
+    known = lambda c, i: 32 + F.coalesce(F.octet_length(F.get(columns, i)["name"]), F.lit(0)) + F.when(c["kind"].isin("n", "u"), 0).otherwise(F.coalesce(F.octet_length(c["text"]), F.lit(0)))
+    unknown = lambda c, i: 32 + F.octet_length(F.concat(F.lit("col_"), i.cast("string")))
+    summed = lambda sizes: F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    of = lambda cells: F.coalesce(summed(F.when(columns.isNull(), F.transform(cells, unknown)).otherwise(F.transform(cells, known))), F.lit(0).cast("bigint"))
+    return F.lit(64) + of(before) + of(after)

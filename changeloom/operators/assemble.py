@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.functions.cells import change_bytes, decoded
+from changeloom.functions.cells import change_bytes, decoded, logged_bytes
 from changeloom.model import CHANGE_MESSAGES
 from changeloom.operators.scale import joined, running_sum, stored
 
@@ -74,7 +74,7 @@ def parts_of(kept: DataFrame, width: int) -> Parts:
     the first. Sizes are taken beside the tuples; what is dealt out by stretches and summed is a row of numbers."""
     is_change, is_begin, is_commit = F.col("msg").isin(*CHANGE_MESSAGES), F.col("msg") == "B", F.col("msg") == "C"
     rows = with_relation(kept.where("msg <> 'R'"), kept)
-    sized = F.when(is_change, change_bytes(*[decoded(F.col(side), F.col("rel.columns")) for side in ("before", "after")]))
+    sized = F.when(is_change, logged_bytes(F.col("before"), F.col("after"), F.col("rel.columns")))
     rows = rows.select("slot", "seq", "msg", "xid", "lsn", "commit_ts", "rel_id", "wal_start", sized.alias("bytes"))
     rows = running_sum(rows, F.when(is_change, 0).otherwise(1), "tx_no", ["slot"], "seq")
     stretches = stored(rows.groupBy("slot", "tx_no", F.floor(F.col("seq") / width).alias("stretch")).agg(

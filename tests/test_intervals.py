@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from changeloom.functions import cells
 from changeloom.model import MESSAGE
 from changeloom.operators import assemble, scale
 from tests.test_log import AT, expected, found, random_log, rel
@@ -102,3 +103,28 @@ def test_running_sums_deal_out_once(spark):
         assert {r["at"]: r.total for r in got.collect()} == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bytes_of_tuples_that_are_not_decoded(spark):
+    """As of decoded ones: without a relation, with more cells than columns, nulls, texts beyond ASCII, no tuple."""
+    column, cell = "struct<name:string,type_oid:bigint,is_key:boolean>", "array<struct<kind:string,text:string>>"
+    tuples = [None, [], [("t", "é𝒳"), ("n", None)], [("u", None)] * 12, [("t", ""), ("t", None), ("t", "abc")]]
+    named = [None, [], [("id", 20, True)], [("näme", 25, False), (None, None, None), ("c", 1, True)]]
+    rows = [(k, old, new, rel) for k, (old, new, rel) in enumerate((a, b, c) for a in tuples for b in tuples for c in named)]
+    table = spark.createDataFrame(rows, f"k int, old {cell}, new {cell}, rel array<{column}>")
+    sides = [cells.decoded(F.col(x), F.col("rel")) for x in ("old", "new")]
+    for r in table.select("k", cells.change_bytes(*sides).alias("a"), cells.logged_bytes(F.col("old"), F.col("new"), F.col("rel")).alias("b")).collect():
+        size = 64
+        for c in (rows[r.k][1] or []) and enumerate(rows[r.k][1]):
+            size += one_cell(c, rows[r.k][3])
+        for c in (rows[r.k][2] or []) and enumerate(rows[r.k][2]):
+            size += one_cell(c, rows[r.k][3])
+        assert r.a == r.b == size
+
+
+def one_cell(placed, columns):
+    k, (kind, text) = placed
+    if columns is None:
+        return 32 + len(f"col_{k}")
+    name = columns[k][0] if k < len(columns) else ""
+    return 32 + len((name or "").encode()) + (len((text or "").encode()) if kind == "t" else 0)
