@@ -3,8 +3,8 @@
 All of it is DataFrame expressions. Of each long token its encoding is inferred; under the hypothesis that it is
 random over that alphabet three tests give p-values: chi-squared for uniform use of the alphabet, the number of runs
 above and below its middle, and the correlation of neighbours. Fisher's method joins them. A token is reported if it
-looks random, where "random" starts at a threshold that holds the share of false reports: thousands of strings cut
-from the prose of the documents are scored alike, which gives the chance that a stretch of prose passes. In each class
+looks random, where "random" starts at a threshold that holds the share of false reports: the prose of all documents,
+cut into strings of each length, is scored alike, which gives the chance that a stretch of prose passes. In each class
 of lengths and kind of alphabet the threshold is the lowest at which that chance, times the class's tokens, makes up
 at most fdr of what passes. So one clearly random token passes on its own, however few others there are.
 """
@@ -45,12 +45,11 @@ ENCODINGS = (
 )
 BINS = 9  # of the alphabet, for chi-squared with 8 degrees of freedom
 GRID = 40  # steps of -log10 p, of a tenth
+SETTLED = 1e-10
 #: Kinds of alphabet, as prose looks far more random over its own letters: a-z, a-z with digits, all others.
 KINDS = (r"^[a-z]+$", r"^[0-9]*[a-z][a-z0-9]*$")
-#: Documents that prose is cut from, twice as many as there are tokens where those are more; strings of each length
-#: from one of them, more where there are fewer; and strings that a length needs, or else shorter ones stand for it,
-#: which look more random.
-PROSE_DOCS, DOC_STRINGS, LEAST_STRINGS = 4000, 8, 100
+#: Prose strings that a length needs, or else shorter ones stand for it, which look more random.
+LEAST_STRINGS = 100
 #: Prose that counts as one more document, for tables that have next to none.
 PROSE = """The morning train left the station a little late and went slowly along the river. On the other bank some
 people were already at work in the fields, and their dogs ran beside the water. Anna had taken a seat at the window
@@ -144,11 +143,11 @@ def neighbours(values: Column, body) -> Column:
 
 def chi_p(places: Column, size: Column) -> Column:
     """Uniform use of the alphabet, by BINS stretches of it that differ by one letter at most."""
-    bins = F.transform(places, lambda i: F.floor(i * BINS / size))
+    bins = F.transform(places, lambda i: F.floor(i * BINS / size).cast("int"))
 
     def part(seen: Column, b: Column) -> Column:
         share = (F.ceil((b + 1) * size / BINS) - F.ceil(b * size / BINS)) / size
-        return let(F.struct(F.size(F.filter(seen, lambda i: i == b)).cast("double").alias("seen"), (F.size(seen) * share).alias("due")), lambda y: (y["seen"] - y["due"]) * (y["seen"] - y["due"]) / y["due"])
+        return let(F.struct((F.size(seen) - F.size(F.array_remove(seen, b))).cast("double").alias("seen"), (F.size(seen) * share).alias("due")), lambda y: (y["seen"] - y["due"]) * (y["seen"] - y["due"]) / y["due"])
 
     return even_chi_tail(let(bins, lambda seen: total(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: part(seen, b)))), BINS - 1)
 
@@ -180,11 +179,13 @@ def serial_p(places: Column) -> Column:
 
 
 def randomness(token: Column) -> Column:
-    """Fisher's p-value of the three tests, for a token's inferred encoding; null where none fits."""
+    """Fisher's p-value of the three tests, for a token's inferred encoding; null where none fits. Where chi-squared alone
+    is below SETTLED the others count as 1, which leaves less than 1e-7: step GRID in any case."""
 
     def tested(x: Column) -> Column:
-        logs = F.log(chi_p(x["places"], x["size"])) + F.log(runs_p(x["places"], x["size"])) + F.log(serial_p(x["places"]))
-        return F.when(F.size(x["places"]) >= 8, even_chi_tail(-2 * logs, 6))
+        rest = F.log(runs_p(x["places"], x["size"])) + F.log(serial_p(x["places"]))
+        joint = lambda chi: even_chi_tail(-2 * (F.log(chi) + F.when(chi < SETTLED, 0.0).otherwise(rest)), 6)
+        return F.when(F.size(x["places"]) >= 8, let(chi_p(x["places"], x["size"]), joint))
 
     def inferred(t: Column) -> Column:
         alphabet = F.lit(None).cast("string")
@@ -228,36 +229,41 @@ def kind_of(token: Column) -> Column:
     return kind
 
 
-def prose_chances(texts: DataFrame, docs_wanted: int, classes: list[int]) -> dict[int, tuple[int, dict[tuple[int, int], int]]]:
-    """For each class of lengths how many prose strings stand for it, and how many of them have each kind and step.
+def evenly(text: Column, width: Column, most_apart: Column) -> Column:
+    """A text from its first letter to its last in as few stretches of a width as begin most_apart letters apart at most."""
+    spare = F.length(text) - width
+    parts = (F.ceil(spare / most_apart) + 1).cast("int")
+    return F.when(spare >= 0, F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.substring(text, F.floor(i * spare / F.greatest(parts - 1, F.lit(1))).cast("int") + 1, width)))
 
-    texts (draw, text): those with the smallest share of draws, about docs_wanted, lose tokens, bases and what is not a
-    letter or digit, and are cut into strings as long as the shortest of the class, which overlap by three quarters at
-    most.
-    """
-    n_docs = texts.count()
-    share, most = min(1.0, docs_wanted / max(1, n_docs)), max(DOC_STRINGS, DOC_STRINGS * PROSE_DOCS // (n_docs + 1))
-    prose = texts.where(F.pmod("draw", F.lit(1_000_000)) < math.ceil(share * 1_000_000)).select("text").unionAll(texts.sparkSession.createDataFrame([(PROSE,)], "text string"))
-    for expression in (TOKEN, *[hint for _, _, hint, _, _ in BASE], "[^A-Za-z0-9]+"):
-        prose = prose.withColumn("text", F.regexp_replace("text", expression, ""))
-    prose = stored(prose.where(F.length("text") >= LEAST), "secret-prose")
+
+def prose_strings(prose: DataFrame, widths: dict[int, int]) -> DataFrame:
+    """prose (text: letters and digits only), cut whole: class, string. A text is cut into rounds, each a string of every width
+    (class -> width) in turn as far as they fit into the text; rounds cover it, so every letter of every text counts."""
+    sums = [sum(list(widths.values())[: k + 1]) for k in range(len(widths))]
+    inside = F.size(F.filter(F.array(*map(F.lit, sums)), lambda n: n <= F.length("text")))
+    rounds = prose.select("text", inside.alias("inside")).where("inside > 0").withColumn("n", F.element_at(F.array(*map(F.lit, sums)), F.col("inside")))
+    rounds = rounds.select("inside", F.explode(evenly(F.col("text"), F.col("n"), F.col("n"))).alias("round"))
+    strings = [F.struct(F.lit(c).alias("class"), F.substring("round", n - w + 1, w).alias("string")) for (c, w), n in zip(widths.items(), sums, strict=True)]
+    return rounds.select(F.explode(F.slice(F.array(*strings), F.lit(1), F.col("inside"))).alias("x")).select("x.*")
+
+
+def prose_chances(prose: DataFrame, classes: list[int]) -> dict[int, tuple[int, dict[tuple[int, int], int]]]:
+    """For each class of lengths how many prose strings stand for it, and how many of them have each kind and step: those of
+    prose_strings(), as long as the shortest of each class, and those of PROSE, which overlap by three quarters."""
     widths = {c: max(LEAST, math.ceil(2 ** (c / 2))) for c in range(math.floor(2 * math.log2(LEAST)), max(classes) + 1)}
-    spare = lambda w: F.length("text") - w
-    parts = lambda w: F.when(spare(w) >= 0, F.least(F.lit(most), F.floor(spare(w) / (w // 4)) + 1)).otherwise(0).cast("int")
-    there = prose.agg(*[F.sum(parts(w)).alias(str(c)) for c, w in widths.items()]).first().asDict()
-    shortest = min(widths)
-    stand_in = {c: max((k for k in widths if k <= c and there[str(k)] >= LEAST_STRINGS), default=shortest) for c in classes}
-    cut = lambda w: F.when(parts(w) > 0, F.transform(F.sequence(F.lit(0), parts(w) - 1), lambda i: F.substring("text", F.floor(i * spare(w) / F.greatest(parts(w) - 1, F.lit(1))).cast("int") + 1, F.lit(w))))
-    used = sorted(set(stand_in.values()))
-    strings = prose.select(F.explode(F.array(*[F.struct(F.lit(c).alias("class"), cut(widths[c]).alias("strings")) for c in used])).alias("x")).select("x.class", F.explode("x.strings").alias("string"))
+    own = prose.sparkSession.range(1).select(F.regexp_replace(F.lit(PROSE), "[^A-Za-z0-9]+", "").alias("text"))
+    cuts = F.array(*[F.struct(F.lit(c).alias("class"), evenly(F.col("text"), F.lit(w), F.lit(w // 4)).alias("strings")) for c, w in widths.items()])
+    strings = prose_strings(prose, widths).unionAll(own.select(F.explode(cuts).alias("x")).select("x.class", F.explode("x.strings").alias("string")))
     counts = strings.select("class", kind_of(F.col("string")).alias("kind"), step(randomness(F.col("string"))).alias("step")).groupBy("class", "kind", "step").count()
-    seen: dict[int, dict[tuple[int, int], int]] = {c: {} for c in used}
+    seen: dict[int, dict[tuple[int, int], int]] = {c: {} for c in widths}
     for r in counts.collect():  # at most len(KINDS) + 1 times GRID + 1 rows for each class
         seen[r["class"]][r["kind"], r["step"]] = r["count"]
-    return {c: (there[str(k)], seen[k]) for c, k in stand_in.items()}
+    there = {c: sum(x.values()) for c, x in seen.items()}
+    stand_in = {c: max((k for k in widths if k <= c and there[k] >= LEAST_STRINGS), default=min(widths)) for c in classes}
+    return {c: (there[k], seen[k]) for c, k in stand_in.items()}
 
 
-def thresholds(tokens: DataFrame, texts: DataFrame, fdr: float) -> dict[tuple[int, int], int]:
+def thresholds(tokens: DataFrame, prose: DataFrame, fdr: float) -> dict[tuple[int, int], int]:
     """The highest step that is reported for each class of lengths and kind of alphabet that has any.
 
     Were all tokens of a class stretches of prose, as many of them would pass as its prose strings say (one hit more
@@ -267,7 +273,7 @@ def thresholds(tokens: DataFrame, texts: DataFrame, fdr: float) -> dict[tuple[in
     if not found:
         return {}
     classes = sorted({c for c, _, _ in found})
-    chances = prose_chances(texts, max(PROSE_DOCS, 2 * sum(found.values())), classes)
+    chances = prose_chances(prose, classes)
     limits = {}
     for c in classes:
         n_tokens, (n_strings, seen) = sum(n for (k, _, _), n in found.items() if k == c), chances[c]
@@ -288,7 +294,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     Base spans are the matches of BASE. A random span is a token of 20 or more characters, or a stretch of one as in
     STRETCHES, that passes the battery and overlaps no base span; of those that overlap the longest counts. So the
     value is tested in name=value, and a stretch in one encoding beside signs of another. Thresholds come from all
-    tokens and the prose of docs, and from PROSE. A null or empty text has no spans. Rows are independent; repeated
+    tokens and all the prose of docs, and from PROSE. A null or empty text has no spans. Rows are independent; repeated
     rows, null ids stay.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -303,9 +309,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     rows = rows.withColumn("base", F.array_sort(F.concat(*bases)))
     scores = lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), length_class(F.length(t["match"])).alias("class"), kind_of(t["match"]).alias("kind"), step(randomness(t["match"])).alias("step"))
     scored = overlaps_none(F.col("base"), lambda free: F.transform("token", lambda token: F.transform(F.filter(candidates(token), free), scores)))
-    rows = stored(rows.select("id", "base", scored.alias("tokens")), "secret-tokens")
+    bare = F.col("text")
+    for expression in (TOKEN, *[hint for _, _, hint, _, _ in BASE]):
+        bare = F.regexp_replace(bare, expression, "")
+    prose = F.regexp_replace(F.when((F.size("token") > 0) | (F.size("base") > 0), bare).otherwise(F.col("text")), "[^A-Za-z0-9]+", "")
+    rows = stored(rows.select("id", "base", scored.alias("tokens"), prose.alias("prose")), "secret-tokens")
 
-    limits = thresholds(rows.select(F.explode(F.flatten("tokens")).alias("t")).select("t.*"), docs.select(F.xxhash64(F.col(id_col), text).alias("draw"), text.alias("text")), fdr)
+    limits = thresholds(rows.select(F.explode(F.flatten("tokens")).alias("t")).select("t.*"), rows.select(F.col("prose").alias("text")), fdr)
 
     def passes(t: Column) -> Column:
         limit = F.lit(-1)

@@ -101,3 +101,24 @@ def test_texts_of_many_secrets_cost_what_they_hold(spark):
     assert len(starts) == 3000 and sum(int(s.split(":")[1]) in starts for s in got[1]) > 2900
     spans = sorted((int(a), int(b)) for s in got[2] for a, b in [s.split(":")[1:]] if s.startswith("random"))
     assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
+def test_all_prose_gives_the_chances(spark):
+    """Every letter of every text stands in a string, however many texts there are; each width has one in every round."""
+    widths = {8: 20, 9: 23, 10: 32}
+    texts = ["".join(chr(97 + (k + i) % 26) for i in range(n)) for k, n in enumerate((5, 20, 30, 50, 75, 200, 1000))] * 900
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {(r["class"], r.string): r["count"] for r in secret_scan.prose_strings(docs, widths).groupBy("class", "string").count().collect()}
+    want = {}
+    for t in texts:
+        own = [w for k, w in enumerate(widths.values()) if sum(list(widths.values())[: k + 1]) <= len(t)]
+        if own:
+            spare, rounds = len(t) - sum(own), math.ceil((len(t) - sum(own)) / sum(own)) + 1
+            for i in range(rounds):
+                at = i * spare // max(1, rounds - 1)
+                for c, w in zip(widths, own, strict=False):
+                    want[c, t[at : at + w]] = want.get((c, t[at : at + w]), 0) + 1
+                    at += w
+    assert got == want
+    chances = secret_scan.prose_chances(docs, [10])
+    assert chances[10][0] == sum(n for (c, _), n in want.items() if c == 10) + spark.range(1).select(F.size(secret_scan.evenly(F.regexp_replace(F.lit(secret_scan.PROSE), "[^A-Za-z0-9]+", ""), F.lit(32), F.lit(8)))).first()[0]
