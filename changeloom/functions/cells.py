@@ -36,7 +36,7 @@ def image(values: Column, unchanged: str = "omit", typed: bool = False) -> Colum
     sentinel = F.lit(UNCHANGED).cast("variant") if typed else F.lit(UNCHANGED)
 
     def mapped(v: Column) -> Column:
-        order = F.array_sort(F.transform(v, lambda x, i: F.struct(x["name"].alias("name"), i.alias("at"))))
+        order = F.sort_array(F.transform(v, lambda x, i: F.struct(x["name"].alias("name"), i.alias("at"))))  # no element is null
         last = let(order, lambda o: F.filter(o, lambda x, i: ~x["name"].eqNullSafe(F.get(o, i + 1)["name"])))
         entry = lambda x: F.struct(x["name"].alias("key"), let(F.get(v, x["at"]), lambda c: F.when(c["kind"] == "u", sentinel).otherwise(sent(c))).alias("value"))
         return F.when(F.size(v) > 0, F.map_from_entries(F.transform(last, entry)))

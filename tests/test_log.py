@@ -181,3 +181,13 @@ def test_settings():
     assert config.Source(host="h", dbname="d").jdbc_url() == "jdbc:postgresql://h:5432/d"
     with pytest.raises(ValueError, match="user.*mode.*positive"):
         config.load({"topic": {"mode": "odd"}, "tuning": {"producer_batch_max_records": 0}}, {})
+
+
+def test_names_are_sorted_without_a_comparator(spark):
+    """Columns of an image are put in order by Spark's own comparison: an expression for each pair of names costs the most of all."""
+    from changeloom.functions import cells
+
+    values = "array<struct<name:string,kind:string,text:string>>"
+    rows = spark.createDataFrame([([("b", "t", "1"), ("a", "t", "2"), ("b", "t", "3")],), ([],), (None,)], f"v {values}").select(cells.image(F.col("v")).alias("m"))
+    assert "array_sort" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.m and list(r.m.items()) for r in rows.collect()] == [[("a", "2"), ("b", "3")], None, None]
