@@ -46,6 +46,8 @@ ENCODINGS = (
 BINS = 9  # of the alphabet, for chi-squared with 8 degrees of freedom
 GRID = 40  # steps of -log10 p, of a tenth
 SETTLED = 1e-10
+#: A p-value of chi-squared that makes the step GRID whatever the other tests give: the joint one is below 10^-4.4.
+CLEAR = 3e-7
 #: Kinds of alphabet, as prose looks far more random over its own letters: a-z, a-z with digits, all others.
 KINDS = (r"^[a-z]+$", r"^[0-9]*[a-z][a-z0-9]*$")
 #: Prose strings that a length needs, or else shorter ones stand for it, which look more random.
@@ -111,90 +113,114 @@ def overlaps_none(sorted_spans: Column, body) -> Column:
     return let(packed(sorted_spans, 1), lambda tree: body(lambda t: ~met(tree, t, levels)))
 
 
-def normal_tail(z: Column) -> Column:
-    """P(|Z| > z) for z of 0 or more, to about 1e-7: the rational approximation of erfc."""
+def normal_tail(x: Column, t: Column) -> Column:
+    """P(|Z| > x * sqrt(2)) for x of 0 or more, to about 1e-7: the rational approximation of erfc; t is 1 / (1 + 0.3275911 * x)."""
+    return F.greatest(t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x), F.lit(1e-300))
 
-    def tail(x: Column) -> Column:
-        return let(1 / (1 + 0.3275911 * x), lambda t: F.greatest(t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x), F.lit(1e-300)))
 
-    return let(z / math.sqrt(2), tail)
-
-
-def even_chi_tail(x: Column, df: int) -> Column:
-    """P(chi-squared with an even number of degrees of freedom > x), exactly."""
-
-    def tail(half: Column) -> Column:
-        series = F.lit(1.0)
-        for k in range(df // 2 - 1, 0, -1):
-            series = 1 + half / k * series
-        return F.greatest(F.exp(-half) * series, F.lit(1e-300))
-
-    return let(x / 2, tail)
+def even_chi_tail(half: Column, df: int) -> Column:
+    """P(chi-squared with an even number of degrees of freedom > 2 * half), exactly."""
+    series = F.lit(1.0)
+    for k in range(df // 2 - 1, 0, -1):
+        series = 1 + half / k * series
+    return F.when(half.isNotNull(), F.greatest(F.exp(-half) * series, F.lit(1e-300)))
 
 
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
-def neighbours(values: Column, body) -> Column:
-    """body of each value and the next one."""
-    return F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1), body)
-
-
-def chi_p(places: Column, size: Column) -> Column:
-    """Uniform use of the alphabet, by BINS stretches of it that differ by one letter at most."""
-    bins = F.transform(places, lambda i: F.floor(i * BINS / size).cast("int"))
+def occurrences(text: Column, part: str) -> Column:
+    """How often a part that doesn't overlap itself occurs in a text of ASCII."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("double")
 
-    def part(seen: Column, b: Column) -> Column:
-        share = (F.ceil((b + 1) * size / BINS) - F.ceil(b * size / BINS)) / size
-        return let(F.struct((F.size(seen) - F.size(F.array_remove(seen, b))).cast("double").alias("seen"), (F.size(seen) * share).alias("due")), lambda y: (y["seen"] - y["due"]) * (y["seen"] - y["due"]) / y["due"])
 
-    return even_chi_tail(let(bins, lambda seen: total(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: part(seen, b)))), BINS - 1)
+def by_encoding(encoding: Column, value) -> Column:
+    """value of the alphabet of an encoding, which is a place in ENCODINGS."""
+    out = F.lit(None)
+    for k, (_, letters) in enumerate(ENCODINGS):
+        out = F.when(encoding == k, value(letters)).otherwise(out)
+    return out
 
 
-def runs_p(places: Column, size: Column) -> Column:
-    """The number of runs in the upper and the lower half of the alphabet."""
+def recoded(text: Column, encoding: Column, sign) -> Column:
+    """text with sign(place, size of the alphabet) for each letter. Plain string functions count such signs in a fraction of the
+    time that arrays of letters take."""
+    return by_encoding(encoding, lambda letters: F.translate(text, letters, "".join(sign(i, len(letters)) for i in range(len(letters)))))
 
-    def tested(x: Column) -> Column:
-        spread = (x["due"] - 1) * (x["due"] - 2) / (x["n"] - 1)
-        return F.when(x["due"] > 2, normal_tail(F.abs(x["runs"] - x["due"]) / F.sqrt(spread))).otherwise(1e-9)
 
-    def counted(high: Column) -> Column:
-        ups, n = total(high), F.size(high)
-        return F.struct(n.alias("n"), (2 * ups * (n - ups) / n + 1).alias("due"), (1 + total(neighbours(high, lambda a, b: F.abs(a - b)))).alias("runs"))
+def encoding_of(token: Column) -> Column:
+    found = F.lit(None).cast("int")
+    for k, (expression, _) in reversed(list(enumerate(ENCODINGS))):
+        found = F.when(token.rlike(expression), k).otherwise(found)
+    return found
 
-    return let(let(F.transform(places, lambda i: F.when(i * 2 >= size, 1.0).otherwise(0.0)), counted), tested)
 
+def chi_squared(x) -> Column:
+    """The statistic of uniform use of the alphabet, by BINS stretches of it that differ by one letter at most."""
+    letters = lambda b: F.ceil((b + 1) * x("size") / BINS) - F.ceil(b * x("size") / BINS)
+    return x("size") / x("n") * sum((x(f"seen{b}") * x(f"seen{b}") / letters(b) for b in range(1, BINS)), x("seen0") * x("seen0") / letters(0)) - x("n")
 
-def serial_p(places: Column) -> Column:
-    """The correlation of neighbours."""
 
-    def tested(d: Column) -> Column:
-        variance = total(F.transform(d, lambda a: a * a))
-        r = let(F.struct(total(neighbours(d, lambda a, b: a * b)).alias("c"), variance.alias("v")), lambda x: F.when(x["v"] > 0, x["c"] / x["v"]))
-        return F.coalesce(normal_tail(F.abs(r + 1 / F.size(d)) * F.sqrt(F.size(d).cast("double"))), F.lit(1e-9))
+def battery(settled: float) -> list:
+    """The three tests of a token and Fisher's p-value p, in steps: each gives new columns (name -> column) from those before,
+    which x(name) gives. Steps can be columns of a table, which Spark compiles, or values within an array (randomness()).
 
-    centred = let(total(places) / F.size(places), lambda mean: F.transform(places, lambda i: i - mean))
-    return let(centred, tested)
-
-
-def randomness(token: Column) -> Column:
+    chi tests uniform use of the alphabet, runs the number of runs in its upper and lower half, serial the correlation
+    of neighbours, from sums of places and of their products, which are whole numbers.
+    """
+    when_open = lambda x, value: F.when(x("chi") >= settled, value)
+    places = lambda x: F.transform(F.split(recoded(x("text"), x("encoding"), lambda i, n: chr(48 + i)), ""), lambda c: (F.ascii(c) - 48).cast("double"))
+    products = lambda at: F.zip_with(F.slice(at, F.lit(1), F.size(at) - 1), F.slice(at, F.lit(2), F.size(at) - 1), lambda a, b: a * b)
+    log_p = lambda x, test: F.log(F.coalesce(normal_tail(x(f"x_{test}"), x(f"t_{test}")), F.lit(1e-9)))
+    tested = lambda x, test: F.when(x(f"x_{test}").isNotNull(), log_p(x, test)).otherwise(math.log(1e-9))
+    return [
+        lambda x: {"encoding": encoding_of(x("token"))},
+        lambda x: {"size": by_encoding(x("encoding"), lambda letters: F.lit(float(len(letters)))), "text": F.when(x("encoding").isNotNull(), F.rtrim(x("token"), F.lit("=")))},
+        lambda x: {"bins": F.when(F.length(x("text")) >= 8, recoded(x("text"), x("encoding"), lambda i, n: str(i * BINS // n)))},
+        lambda x: {"n": F.length(x("bins")).cast("double")} | {f"seen{b}": occurrences(x("bins"), str(b)) for b in range(BINS)},
+        lambda x: {"half_chi": chi_squared(x) / 2},
+        lambda x: {"chi": even_chi_tail(x("half_chi"), BINS - 1)},
+        lambda x: {"high": when_open(x, recoded(x("text"), x("encoding"), lambda i, n: str(2 * i // n))), "at": when_open(x, places(x))},
+        lambda x: {
+            "ups": occurrences(x("high"), "1"), "runs": 1 + occurrences(x("high"), "01") + occurrences(x("high"), "10"),
+            "s": total(x("at")), "squares": F.aggregate(x("at"), F.lit(0.0), lambda a, v: a + v * v), "products": total(products(x("at"))), "ends": x("at")[0] + F.element_at(x("at"), -1),
+        },
+        lambda x: {
+            "due": 2 * x("ups") * (x("n") - x("ups")) / x("n") + 1,
+            "variance": x("n") * x("squares") - x("s") * x("s"),
+            "covariance": x("n") * x("products") - x("s") * (2 * x("s") - x("ends")) + x("s") * x("s") * (x("n") - 1) / x("n"),
+        },
+        lambda x: {
+            "x_runs": F.when(x("due") > 2, F.abs(x("runs") - x("due")) / F.sqrt(2 * (x("due") - 1) * (x("due") - 2) / (x("n") - 1))),
+            "x_serial": F.when(x("variance") > 0, F.abs(x("covariance") / x("variance") + 1 / x("n")) * F.sqrt(x("n") / 2)),
+        },
+        lambda x: {f"t_{test}": 1 / (1 + 0.3275911 * x(f"x_{test}")) for test in ("runs", "serial")},
+        lambda x: {"half": -F.log(x("chi")) - F.when(x("chi") < settled, 0.0).otherwise(tested(x, "runs") + tested(x, "serial"))},
+        lambda x: {"p": even_chi_tail(x("half"), 6)},
+    ]
+
+
+def randomness(token: Column, settled: float = SETTLED) -> Column:
     """Fisher's p-value of the three tests, for a token's inferred encoding; null where none fits. Where chi-squared alone
-    is below SETTLED the others count as 1, which leaves less than 1e-7: step GRID in any case."""
+    is below settled the others count as 1, which leaves less than 1e-7 with SETTLED."""
 
-    def tested(x: Column) -> Column:
-        rest = F.log(runs_p(x["places"], x["size"])) + F.log(serial_p(x["places"]))
-        joint = lambda chi: even_chi_tail(-2 * (F.log(chi) + F.when(chi < SETTLED, 0.0).otherwise(rest)), 6)
-        return F.when(F.size(x["places"]) >= 8, let(chi_p(x["places"], x["size"]), joint))
+    def after(steps: list, known: dict[str, Column]) -> Column:
+        if not steps:
+            return known["p"]
+        made = steps[0](known.__getitem__)
+        return let(F.struct(*[c.alias(name) for name, c in made.items()]), lambda x: after(steps[1:], known | {name: x[name] for name in made}))
 
-    def inferred(t: Column) -> Column:
-        alphabet = F.lit(None).cast("string")
-        for expression, letters in reversed(ENCODINGS):
-            alphabet = F.when(t.rlike(expression), F.lit(letters)).otherwise(alphabet)
-        places = lambda a: F.transform(F.split(F.regexp_replace(t, "=+$", ""), ""), lambda c: (F.instr(a, c) - 1).cast("double"))
-        return let(alphabet, lambda a: F.when(a.isNotNull(), F.struct(F.length(a).alias("size"), places(a).alias("places"))))
+    return let(F.struct(token.alias("token")), lambda x: after(battery(settled), {"token": x["token"]}))
 
-    return let(let(token, inferred), tested)
+
+def steps_of(tokens: DataFrame) -> DataFrame:
+    """tokens (token, and columns that the battery doesn't name) with the column step, that of randomness(). Each step of the
+    battery is a column, so Spark compiles it; within an array it takes some 70 microseconds a token, mostly for small structs."""
+    out = tokens
+    for made in battery(CLEAR):
+        out = out.withColumns(made(F.col))
+    return out.select(*tokens.columns, step(F.col("p")).alias("step"))
 
 
 def step(p: Column) -> Column:
@@ -230,10 +256,15 @@ def kind_of(token: Column) -> Column:
 
 
 def evenly(text: Column, width: Column, most_apart: Column) -> Column:
-    """A text from its first letter to its last in as few stretches of a width as begin most_apart letters apart at most."""
-    spare = F.length(text) - width
-    parts = (F.ceil(spare / most_apart) + 1).cast("int")
-    return F.when(spare >= 0, F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.substring(text, F.floor(i * spare / F.greatest(parts - 1, F.lit(1))).cast("int") + 1, width)))
+    """A text of ASCII from its first letter to its last in as few stretches of a width as begin most_apart letters apart at most.
+    They are cut from its bytes: a place in a string is found by counting from its start, so all of them in a text's square."""
+
+    def cut(x: Column) -> Column:
+        at = lambda i: F.floor(i.cast("long") * x["spare"] / F.greatest(x["parts"] - 1, F.lit(1))).cast("int") + 1
+        return F.when(x["spare"] >= 0, F.transform(F.sequence(F.lit(0), x["parts"] - 1), lambda i: F.substring(x["raw"], at(i), width).cast("string")))
+
+    spare = F.octet_length(text) - width
+    return let(F.struct(text.cast("binary").alias("raw"), spare.alias("spare"), (F.ceil(spare / most_apart) + 1).cast("int").alias("parts")), cut)
 
 
 def prose_strings(prose: DataFrame, widths: dict[int, int]) -> DataFrame:
@@ -254,7 +285,8 @@ def prose_chances(prose: DataFrame, classes: list[int]) -> dict[int, tuple[int,
     own = prose.sparkSession.range(1).select(F.regexp_replace(F.lit(PROSE), "[^A-Za-z0-9]+", "").alias("text"))
     cuts = F.array(*[F.struct(F.lit(c).alias("class"), evenly(F.col("text"), F.lit(w), F.lit(w // 4)).alias("strings")) for c, w in widths.items()])
     strings = prose_strings(prose, widths).unionAll(own.select(F.explode(cuts).alias("x")).select("x.class", F.explode("x.strings").alias("string")))
-    counts = strings.select("class", kind_of(F.col("string")).alias("kind"), step(randomness(F.col("string"))).alias("step")).groupBy("class", "kind", "step").count()
+    scored = steps_of(strings.select("class", kind_of(F.col("string")).alias("kind"), F.col("string").alias("token")))
+    counts = scored.groupBy("class", "kind", "step").count()
     seen: dict[int, dict[tuple[int, int], int]] = {c: {} for c in widths}
     for r in counts.collect():  # at most len(KINDS) + 1 times GRID + 1 rows for each class
         seen[r["class"]][r["kind"], r["step"]] = r["count"]

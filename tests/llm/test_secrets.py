@@ -4,6 +4,7 @@ import math
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,24 @@ def test_all_prose_gives_the_chances(spark):
     assert got == want
     chances = secret_scan.prose_chances(docs, [10])
     assert chances[10][0] == sum(n for (c, _), n in want.items() if c == 10) + spark.range(1).select(F.size(secret_scan.evenly(F.regexp_replace(F.lit(secret_scan.PROSE), "[^A-Za-z0-9]+", ""), F.lit(32), F.lit(8)))).first()[0]
+
+
+def test_compiled_steps_are_those_of_the_battery(spark):
+    draw = random.Random(9)
+    kinds = [a for _, a in secret_scan.ENCODINGS]
+    tokens = ["".join(draw.choices(draw.choice(kinds), k=draw.choice((5, 8, 20, 23, 64, 200)))) for _ in range(200)]
+    tokens += ["", "=" * 20, "a" * 30, "ab" * 20, "a-b+c" * 5, "thisislikeproseoverletters", "ThisIsLikeProseOfManyWords", "Ab12+/" * 5 + "==", "é" * 20, None]
+    tokens += [secret_scan.PROSE.replace(" ", "").replace("\n", "")[k : k + 23] for k in range(0, 900, 9)]
+    docs = spark.createDataFrame(list(enumerate(tokens)), "k int, token string")
+    got = {r.k: r.step for r in secret_scan.steps_of(docs).collect()}
+    want = {r.k: r.step for r in docs.select("k", secret_scan.step(secret_scan.randomness(F.col("token"))).alias("step")).collect()}
+    assert got == want and len(set(got.values())) > 20
+
+
+def test_long_prose_is_cut_in_linear_time(spark):
+    text = "".join(random.Random(10).choices(string.ascii_lowercase, k=2_000_000))
+    docs = spark.createDataFrame([(text,)], "text string")
+    began = time.monotonic()
+    got = secret_scan.prose_strings(docs, {8: 20, 9: 23}).groupBy("class").count().collect()
+    assert {r["class"]: r["count"] for r in got} == {8: 46512, 9: 46512}
+    assert time.monotonic() - began < 20  # over a minute when every cut counted letters from the start of the text
