@@ -220,3 +220,11 @@ def test_sha_of_queries(spark):
     rows = queries.op2_line_dedup(spark, "/root/testdata/sf0.001").where("n_dropped = 0").select("doc_id", "kept_sha256").limit(20).collect()
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(F.col("doc_id").isin([r.doc_id for r in rows])).collect()}
     assert all(hashlib.sha256(texts[r.doc_id].encode()).hexdigest() == r.kept_sha256 for r in rows)
+
+
+def test_new_words_encoded_together_have_their_own_ids():
+    own = encoding.Encoder(encoding.default_path())
+    words = [f"{w}{k}" for k in range(150) for w in ("word", "Été", "数字", "ⅷx", "x²", "Ġa", "endoftext")]
+    assert own.words(words) == own.plain([" " + w for w in words]) and own.words([]) == []
+    for s in ("a", "ab,", ",", "é!", "a\nb", "a,\nb", "x..", "\n"):
+        assert b"".join(own.plain(encoding.atoms(s))) == own.plain([" " + s])[0], s
