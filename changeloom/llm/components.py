@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.text import stored
+from changeloom.operators.scale import stored_alone as stored
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

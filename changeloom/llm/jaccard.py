@@ -7,7 +7,8 @@ union. Multiplying whole columns would cost the square of each column's entries,
    their first n - ceil(t * n) + 1, in any order of the columns. The product starts with these leading columns only,
    and drops a pair whose count, plus all that can follow after the leading columns, falls short of the least overlap.
    Tasks first count their own columns, and those that are frequent in some task come last in the order, so that
-   they rarely lead.
+   they rarely lead. A column that no task sees twice may still be in many rows of a large table, so the others come
+   in the order of how surprising their words are, from counts of all words: n-grams of common words alone rarely lead.
 2. The product is computed by blocks of columns. A column with more than `wide` entries would give too many pairs.
    Pairs of which one row leads with no wide column are complete without those columns. Rows that lead with one
    ("hot") are multiplied with each other again, in an order that is made for them alone.
@@ -18,6 +19,8 @@ union. Multiplying whole columns would cost the square of each column's entries,
    wide columns form groups of the same kind again, around hubs whose columns are added to the bits. What rows of a
    group have in common thus stops counting as a reason to compare them, and pairs that one component holds already
    aren't compared at all.
+4. Pairs that these steps leave are held against each other by small bit maps of their sets, which bound the overlap
+   from above, and only those that may still link by whole sets.
 
 Every order of columns gives the same links; counts, thresholds and blocks only decide what they cost. N-grams are
 named by 64-bit hashes, sets by 128 bits.
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,7 +41,8 @@ from pyspark.sql import functions as F
 from changeloom.llm import encoding
 from changeloom.llm.components import components
 from changeloom.llm.phrases import mixed
-from changeloom.llm.text import ship, small_batches, small_side, stored, tidy
+from changeloom.llm.text import ship, small_batches, small_side, tidy
+from changeloom.operators.scale import stored_alone as stored
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -57,8 +61,23 @@ def powers(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's runs of width words; of fewer words, the hash of all of them."""
+WORD_SLOTS = 1 << 14  # of word counts
+
+
+def slots(words: np.ndarray) -> np.ndarray:
+    """The slot that a word is counted in."""
+    return (words >> np.uint64(50)).astype(np.int64)
+
+
+def surprise(counts: np.ndarray) -> np.ndarray:
+    """For each slot, how many eighths of a bit a word of it tells, all words of a slot being counted as one."""
+    total = max(1, int(counts.sum()))
+    return np.round(8 * np.log2(total / np.maximum(counts, 1))).astype(np.int64)
+
+
+def shingled(texts: list[str | None], width: int = 5, worth: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """The sorted distinct hashes of each text's runs of width words; of fewer words, the hash of all of them. Beside
+    them how surprising each is by the worth of words, 0 without one, and the hashes of all words."""
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
     ends = np.cumsum([len(d) + 1 for d in data])
@@ -73,15 +92,30 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
         odd = [np.uint64((2 * k + 3) * _BASE % 2**64 | 1) for k in range(width)]
         n = max(0, len(words) - width + 1)
         grams = mixed(sum((words[k : k + n] * odd[k] for k in range(width)), np.zeros(n, np.uint64)))
-        out = []
+        odds = None
+        if worth is not None:
+            each = worth[slots(words)]
+            odds = sum((each[k : k + n] for k in range(width)), np.zeros(n, np.int64))
+        out, rare = [], []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a >= width:
-                out.append(np.unique(grams[a : b - width + 1]))
+                if odds is None:
+                    out.append(np.unique(grams[a : b - width + 1]))
+                else:
+                    g, at = np.unique(grams[a : b - width + 1], return_index=True)
+                    out.append(g)
+                    rare.append(odds[a + at])
             elif b > a:
                 out.append(mixed((words[a:b] * np.array(odd[: b - a])).sum(keepdims=True) + np.uint64(b - a)))
             else:
                 out.append(np.zeros(0, np.uint64))
-        return out
+            if len(rare) < len(out):
+                rare.append(np.zeros(len(out[-1]), np.int64))
+        return out, rare, words
+
+
+def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
+    return shingled(texts, width)[0]
 
 
 def digest(grams: np.ndarray) -> tuple[int, int]:
@@ -96,25 +130,30 @@ def leading(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-def grouped(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
-    """shingle_sets() of many texts, some 200,000 characters at a time."""
+def grouped(texts: list[str | None], width: int, worth: np.ndarray | None = None) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], np.ndarray]]:
+    """shingled() of many texts, some 200,000 characters at a time."""
     at = 0
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and size < 200_000:
             size += len(texts[end] or "")
             end += 1
-        yield from shingle_sets(texts[at:end], width)
+        yield shingled(texts[at:end], width, worth)
         at = end
 
 
-def set_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int = 1000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[tuple[int, int] | None]]]:
-    """Batches of (id, text), some rows at a time, with the set and its names, None for an empty one."""
+def set_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int = 1000, counts: np.ndarray | None = None) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[tuple[int, int] | None]]]:
+    """Batches of (id, text), some rows at a time, with the set and its names, None for an empty one. counts: words are
+    added to these."""
     encoding.forget()
     for whole in batches:
         for at in range(0, whole.num_rows, rows):
             batch = whole.slice(at, rows)
-            sets = list(grouped(batch.column("text").to_pylist(), width))
+            sets: list[np.ndarray] = []
+            for own, _, words in grouped(batch.column("text").to_pylist(), width):
+                sets += own
+                if counts is not None:
+                    counts += np.bincount(slots(words), minlength=len(counts))
             yield batch, sets, [digest(g) if len(g) else None for g in sets]
 
 
@@ -138,6 +177,35 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, grams array<long>")
 
 
+def bit_map(g: np.ndarray) -> bytes:
+    """Which places of a ring the columns of a set take: of 64 places, or the power of two that is at least twice the set."""
+    places = max(64, 1 << int(2 * len(g) - 1).bit_length())
+    has = np.zeros(places, bool)
+    has[(g & np.uint64(places - 1)).astype(np.int64)] = True
+    return np.packbits(has).tobytes()
+
+
+def folded(maps: np.ndarray, length: int) -> np.ndarray:
+    """Rows of bits of larger rings as those of one of length bytes."""
+    return np.bitwise_or.reduce(maps.reshape(len(maps), -1, length), axis=1)
+
+
+def most_shared(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """For pairs of sets by their bit maps and sizes, how many columns they share at most: a place that only one of them
+    takes is of a column that the other lacks."""
+    out = np.minimum(n_a, n_b)
+    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    for x, y in np.unique(sizes, axis=0):
+        all_of = np.flatnonzero((sizes == (x, y)).all(axis=1))
+        step = max(1, (4 << 20) // int(x + y))
+        for at in range(0, len(all_of), step):
+            use = all_of[at : at + step]
+            p, q = (folded(np.frombuffer(b"".join([maps[k] for k in use]), np.uint8).reshape(len(use), -1), min(x, y)) for maps in (a, b))
+            alone = [np.bitwise_count(u & ~v).sum(axis=1, dtype=np.int64) for u, v in ((p, q), (q, p))]
+            out[use] = np.minimum(n_a[use] - alone[0], n_b[use] - alone[1])
+    return out
+
+
 def repeated_columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Columns that more than one of some rows hold, and how many hold them."""
     grams, uses = np.unique(np.concatenate(sets), return_counts=True)
@@ -146,22 +214,23 @@ def repeated_columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def surveyed(docs: DataFrame, width: int, chunk: int = 2_000_000) -> DataFrame:
-    """docs (id, text) as rows (id, digest, check, n), and beside them rows (gram, uses): the n-grams that repeat among some
-    `chunk` n-grams of one task. What never repeats there isn't frequent."""
+    """docs (id, text) as rows (id, digest, check, n), and beside them rows (gram, uses), the n-grams that repeat among some
+    `chunk` n-grams of one task, and rows (slot, uses), how often a task has words of a slot."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[tuple[int, int] | None] = set()
-        fields = ["id", "digest", "check", "n", "gram", "uses"]
+        fields = ["id", "digest", "check", "n", "gram", "uses", "slot"]
         id_type, size = pa.null(), 0
+        words = np.zeros(WORD_SLOTS, np.int64)
 
         def counted() -> pa.RecordBatch:
             grams, uses = repeated_columns(held)
             none = [pa.nulls(len(grams), t) for t in (id_type, pa.int64(), pa.int64(), pa.int64())]
-            return pa.RecordBatch.from_arrays([*none, pa.array(grams), pa.array(uses)], fields)
+            return pa.RecordBatch.from_arrays([*none, pa.array(grams), pa.array(uses), pa.nulls(len(grams), pa.int64())], fields)
 
-        for batch, sets, names in set_batches(batches, width):
+        for batch, sets, names in set_batches(batches, width, counts=words):
             id_type = batch.column("id").type
             for name, g in zip(names, sets, strict=True):
                 if len(g) and name not in seen:
@@ -169,20 +238,26 @@ def surveyed(docs: DataFrame, width: int, chunk: int = 2_000_000) -> DataFrame:
                     held.append(g)
                     size += len(g)
             none = pa.nulls(batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *name_columns(names), pa.array([len(g) for g in sets], pa.int64()), none, none], fields)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *name_columns(names), pa.array([len(g) for g in sets], pa.int64()), none, none, none], fields)
             if size >= chunk:
                 yield counted()
                 held, size = [], 0
                 seen = set()
         if held:
             yield counted()
+        if len(at := np.flatnonzero(words)):
+            none = [pa.nulls(len(at), t) for t in (id_type, *[pa.int64()] * 4)]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(words[at]), pa.array(at)], fields)
 
-    return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, gram long, uses long")
+    return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, gram long, uses long, slot long")
 
 
-def led(g: np.ndarray, last: np.ndarray, k: int) -> np.ndarray:
-    """The first k columns of a sorted row, where columns in last (sorted) come after all others."""
+def led(g: np.ndarray, last: np.ndarray, k: int, odds: np.ndarray | None = None) -> np.ndarray:
+    """The first k columns of a sorted row, where columns in last (sorted) come after all others, and with odds the most
+    surprising ones first."""
     late = last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g if len(last) else np.zeros(len(g), bool)
+    if odds is not None:
+        return g[np.argsort((late.astype(np.int64) << 32) - odds, kind="stable")[:k]]
     return np.concatenate([g[~late], g[late]])[:k]
 
 
@@ -340,6 +415,30 @@ def multiplied(entries: DataFrame, wide: int, percent: int, bounded: bool = True
     return pairs.select("a", "b"), got.where("shared = 0").select(F.col("b").alias("gram"), F.col("a").alias("row"), F.col("n_a").alias("tied")).distinct()
 
 
+def mapped(docs: DataFrame, width: int) -> DataFrame:
+    """docs (id, text) as (id, digest, check, n, bits): whole_sets() with bit maps in place of sets."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets, names in set_batches(batches, width):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *name_columns(names), pa.array([len(g) for g in sets], pa.int64()), pa.array([bit_map(g) for g in sets], pa.binary())], ["id", "digest", "check", "n", "bits"])
+
+    return docs.mapInArrow(tidy(made), f"id {kind}, digest long, check long, n long, bits binary")
+
+
+def sifted(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of digests those whose bit maps don't rule a link out. Pairs of digests that two sets have stay."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            most = most_shared(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), n_a, n_b)
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * most >= percent * (n_a + n_b)))
+
+    of = lambda side: maps.select(F.col("digest").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(tidy(sift), "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of digests those that link, as links (a, b) of rows' ids, by exact intersection."""
     left = sets.select(F.col("digest").alias("a"), F.col("id").alias("id_a"), F.col("grams").alias("g_a"))
@@ -552,25 +651,33 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = stored(usable.groupBy("digest", "check").agg(F.min("id").alias("copy_of"), F.first("n").alias("n")), "classes")
 
     def most_used(uses: DataFrame) -> np.ndarray:
-        """Columns that come last. The order is free, so those beyond the bound may stay where their hash puts them,
-        and half of wide leaves room for uses that no task saw repeat."""
-        often = uses.groupBy("gram").agg(F.sum("uses").alias("uses")).where(F.col("uses") > wide // 2).orderBy(F.desc("uses"), "gram").limit(max_frequent)
+        """Columns that come last. The order is free, so those beyond the bound may stay where their hash puts them. Of
+        a column that is just wide tasks may see an eighth of the uses repeat."""
+        often = uses.groupBy("gram").agg(F.sum("uses").alias("uses")).where(F.col("uses") > wide // 8).orderBy(F.desc("uses"), "gram").limit(max_frequent)
         return np.sort(often.select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
 
     def buckets_of(entries: Column, of: DataFrame) -> int:
         return max(12, int(of.agg(F.sum(entries)).first()[0] or 0) // bucket_entries)
 
-    first = most_used(survey.where("uses is not null").select("gram", "uses"))
+    first = most_used(survey.where("gram is not null").select("gram", "uses"))
+    counts = np.zeros(WORD_SLOTS, np.int64)
+    for slot, uses in survey.where("slot is not null").groupBy("slot").agg(F.sum("uses").alias("uses")).collect():
+        counts[slot] = uses
+    worth = surprise(counts)
     n_first = buckets_of(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1, classes)
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries() -> Iterator[Entry]:
+            encoding.forget()
             seen: set[tuple[int, int]] = set()
-            for batch, sets, names in set_batches(batches, width):
-                for key, name, g in zip(batch.column("id").is_valid().to_pylist(), names, sets, strict=True):
-                    if key and name is not None and name not in seen:
-                        seen.add(name)
-                        yield name[0], len(g), 0, led(g, first, leading(len(g), percent))
+            for batch in batches:
+                keys, at = batch.column("id").is_valid().to_pylist(), 0
+                for sets, rare, _ in grouped(batch.column("text").to_pylist(), width, worth):
+                    for key, g, odds in zip(keys[at : at + len(sets)], sets, rare, strict=True):
+                        if key and len(g) and (name := digest(g)) not in seen:
+                            seen.add(name)
+                            yield name[0], len(g), 0, led(g, first, leading(len(g), percent), odds)
+                    at += len(sets)
 
         yield from dealt(entries(), n_first, wide)
 
@@ -578,10 +685,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = [stored(pairs, "pairs")]
     hot = stored(heavy.select(F.col("row").alias("digest")).distinct(), "hot")
 
-    def sets_of(names: DataFrame) -> DataFrame:
-        """(id, digest, n, grams) of the first document of each set."""
+    def sets_of(names: DataFrame, made_by: Callable[[DataFrame, int], DataFrame] = whole_sets) -> DataFrame:
+        """(id, digest, n, grams), or as made_by has it, of the first document of each set."""
         keys = stored(classes.join(names, "digest", "left_semi").select(F.col("copy_of").alias("id"), "digest", "check"), "chosen")
-        made = whole_sets(source.join(small_side(keys.select("id").distinct(), max_broadcast), "id"), width)
+        made = made_by(source.join(small_side(keys.select("id").distinct(), max_broadcast), "id"), width)
         return made.where("digest is not null").join(small_side(keys, max_broadcast), ["id", "digest", "check"]).dropDuplicates(["digest", "check"]).drop("check")
 
     none = F.lit(0).cast("long")
@@ -605,6 +712,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     links = functools.reduce(DataFrame.unionByName, links)
     pairs = stored(functools.reduce(DataFrame.unionByName, found).distinct(), "pairs")
+    maps = stored(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), mapped), "maps")
+    pairs = stored(sifted(pairs, maps, percent), "pairs")
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
     popular = ends.groupBy("x").agg(F.count("*").alias("degree"))
     best = ends.join(popular.withColumnsRenamed({"x": "y"}), "y").groupBy("x").agg(F.max_by("y", F.struct("degree", "y")).alias("y"))

@@ -37,6 +37,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Whether Spark removes the shuffle files of a query as soon as that ends; else they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """stored(), whose shuffle files go at once: in a long chain of tables the disk then holds those of one at a time."""
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(CLEANUP) if was is None else conf.set(CLEANUP, was)
+
+
 def all_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """Every pair is equal, null to null."""
     return functools.reduce(Column.__and__, [a.eqNullSafe(b) for a, b in pairs])
