@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import decontaminate, jaccard, mixing, quality, token_io
-from changeloom.llm.text import stored
+from changeloom.llm.text import small_side, stored
+from changeloom.operators.scale import stored_alone
 
 #: SQL can't express the trained classifier or the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -29,8 +30,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of documents that similarity links, directly or by others, the one with the smallest id stays. Documents
     without words are linked with nothing and stay, as do rows without an id."""
     found = jaccard.similar_documents(docs)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = stored_alone(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    return docs.join(small_side(gone, 2_000_000), "doc_id", "left_anti").select(*docs.columns)  # beyond that texts are shuffled
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 import numpy as np
 
 from changeloom.llm import jaccard
@@ -73,3 +74,14 @@ def test_surprising_columns_lead():
     first = jaccard.led(g, np.zeros(0, np.uint64), 20, odds)
     assert not np.isin(first, jaccard.shingle_sets([" ".join(common * 3)])[0]).any()
     assert not np.isin(jaccard.led(g, np.sort(first), len(g) - 20, odds), first).any()  # frequent ones come after all others
+
+
+def test_texts_are_not_shuffled_to_leave_copies_out(spark, tmp_path):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.keep_one_of_each_group(spark, docs(spark, alike(pairs=4, crowd=2)), str(tmp_path))
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert {r.doc_id for r in kept.collect()} == {0, 2, 4, 6, 8, 9}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
